@@ -63,3 +63,9 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
 
 def with_shuffle_join(df: DataFrame) -> DataFrame:
     return df.hint("merge")
+
+
+def n_words(text: str):
+    """Runs of characters other than separators; a null text has none."""
+    bare = F.expr(f"trim(BOTH ' \\t\\n\\u000B\\f\\r' FROM `{text}`)")
+    return F.when(F.coalesce(bare, F.lit("")) == "", F.lit(0)).otherwise(F.size(F.split(bare, f"[{SEPARATORS}]+"))).cast("long")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrella.llm import bpe, quality, token_counts
+from terrella.llm import bpe, mixing, quality, token_counts
 from terrella.llm.common import table
 
 
@@ -34,10 +34,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op10_source_mix": op10_source_mix,
 }
 
 ORACLES: dict[str, str] = {}
