@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrella.llm import bpe, mixing, quality, token_counts
+from terrella.llm import bpe, mixing, quality, secrets, token_counts
 from terrella.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), _pattern())
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents")).select("doc_id", "quality.*")
 
@@ -40,6 +44,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op10_source_mix": op10_source_mix,
