@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrella.llm import bpe, mixing, quality, secrets, token_counts
+from terrella.llm import bpe, mixing, near_dedup, quality, secrets, token_counts
 from terrella.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_source_mix": op10_source_mix,
 }
 
