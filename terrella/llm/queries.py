@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrella.llm import bpe, mixing, near_dedup, quality, secrets, token_counts
+from terrella.llm import bpe, mixing, near_dedup, quality, secrets, suffix_dedup, token_counts
 from terrella.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_source_mix": op10_source_mix,
 }
 
