@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrella.llm import bpe, mixing, near_dedup, quality, secrets, suffix_dedup, token_counts
+from terrella.llm import bpe, embedding_dedup, mixing, near_dedup, quality, secrets, suffix_dedup, token_counts
 from terrella.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_source_mix": op10_source_mix,
