@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrella.llm import bpe, embedding_dedup, mixing, near_dedup, quality, secrets, suffix_dedup, token_counts
+from terrella.llm import bpe, embedding_dedup, language_id, mixing, near_dedup, pii, quality, secrets, suffix_dedup, token_counts
 from terrella.llm.common import table
 
 
@@ -42,6 +42,16 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.linked_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, "text", "lang", declared="lang")
+    return language_id.identify(docs, model, declared="lang", host="source")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -60,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
+    "op6_pii": op6_pii,
+    "op7_language_id": op7_language_id,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_source_mix": op10_source_mix,
