@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrella.llm import bpe, embedding_dedup, language_id, mixing, near_dedup, pii, quality, secrets, suffix_dedup, token_counts
+from terrella.llm import bpe, embedding_dedup, language_id, mixing, near_dedup, oracles, pii, quality, secrets, suffix_dedup, token_counts
 from terrella.llm.common import table
 
 
@@ -77,4 +77,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mix": op10_source_mix,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_secret_scan": oracles.secret_scan(),
+    "op3_quality_rules": oracles.quality_rules(),
+    "op5_embedding_near_dedup": oracles.EMBEDDINGS,
+    "op8_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op10_source_mix": oracles.MIX,
+}

@@ -49,7 +49,7 @@ RULES = (
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,255}"),
     Rule("private", "-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
-    Rule("bearer", r"eyJ[A-Za-z0-9_-]{8,2048}\.eyJ[A-Za-z0-9_-]{8,2048}\.[A-Za-z0-9_-]{0,2048}"),
+    Rule("bearer", r"eyJ[A-Za-z0-9_-]{8,999}\.eyJ[A-Za-z0-9_-]{8,999}\.[A-Za-z0-9_-]{0,999}"),
     Rule("login", f"[a-z]{{2,10}}://[^/{SEPARATORS}:@]{{1,64}}:[^/{SEPARATORS}:@]{{1,64}}@"),
 )
 

@@ -1,0 +1,60 @@
+"""The secret scan against expressions run over all texts."""
+
+import hashlib
+import random
+import re
+
+from terrella.llm import secrets as S
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+KINDS = [r.kind for r in S.RULES]
+
+
+def plain(text):
+    text = text or ""
+    base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    more = [(m.start(), i, m.end()) for i, r in enumerate(S.RULES) if not r.base for m in re.finditer(r.pattern, text)]
+    return sorted(base), sorted(base + more)
+
+
+def listed(spans):
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+BITS = ["password", "Token", "API_KEY", "apikey", "é🙂", " ", "=", ":", '"', "abcdefgh12", "0123456789abcdef" * 2, "AKIAABCDEFGHIJKL", "AKIA", "\n", "x", "ghp_" + "a1" * 20, "https://u:p@h", "-----BEGIN RSA PRIVATE KEY-----", "eyJabcdefghi.eyJabcdefghij.zz", "xoxb-1234567890a"]
+
+
+def test_scan(spark):
+    r = random.Random(3)
+    texts = [None, "", "secret=abcdefgh " * 700, "ab" * 40000, *["".join(r.choice(BITS) for _ in range(r.randrange(25))) for _ in range(250)]]
+    rows = [(i if i % 7 else None, t, i) for i, t in enumerate(texts)]
+    d = spark.createDataFrame([*rows, rows[8]], "doc_id long, text string, n long")
+    got = S.scan(d).select("n", S.listed("secrets").alias("s")).collect()
+    assert len(got) == len(rows) + 1
+    for x in got:
+        assert x.s == listed(plain(texts[x.n])[1]), texts[x.n]
+    report = S.report(d.filter("doc_id is not null")).collect()
+    for x in report:
+        base, spans = plain(texts[x.doc_id])
+        assert (x.n_assign, x.n_access, x.n_hex) == tuple(sum(s[1] == k for s in base) for k in range(3))
+        assert x.base_sha256 == hashlib.sha256(listed(base).encode()).hexdigest() and x.spans == listed(spans)
+    assert S.report(d.limit(0)).collect() == []
+
+
+def test_redacted(spark):
+    d = spark.createDataFrame([(1, 'é token = "abcdefgh" x', 9), (2, "clean", 5), (3, None, None), (4, "secret=0123456789abcdef0123456789abcdef.", 1)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in S.redacted(d).collect()}
+    assert got == {1: ('é [SECRET]" x', 13), 2: ("clean", 5), 3: (None, None), 4: ("[SECRET]", 8)}
+
+
+def test_queries_hold_for_any_match():
+    made = {"assign": "x api_key:'abcdefgh12", "access": "AKIAABCDEFGHIJKLMN", "github": "gho_" + "Z" * 36, "slack": "xoxp-1234567890", "google": "AIza" + "b" * 35, "stripe": "rk_live_" + "a" * 20, "private": "-----BEGIN PRIVATE KEY-----", "bearer": "eyJabcdefgh.eyJabcdefgh.x", "login": "ftp://a:b@"}
+    for rule in S.RULES:
+        q = S.trigram_query(rule.pattern)
+        if rule.kind == "hex":
+            assert q is None
+            continue
+        assert re.search(rule.pattern, made[rule.kind])
+        assert any(all(t in made[rule.kind].lower() for t in c) for c in q)
