@@ -56,7 +56,7 @@ def footers(files: DataFrame, path: str = "path") -> DataFrame:
             for p in b.column(0).to_pylist():
                 try:
                     f = pq.ParquetFile(p)
-                    geo = (f.schema_arrow.metadata or {}).get(b"geo")
+                    geo = (f.metadata.metadata or {}).get(b"geo")
                     out.append((p, f.metadata.num_rows, f.schema_arrow.names, json.loads(geo).get("version") if geo else None, None))
                 except Exception as e:  # noqa: BLE001  a file that can't be read is a finding
                     out.append((p, None, [], None, str(e)))

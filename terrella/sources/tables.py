@@ -122,7 +122,7 @@ def write_tree(rows: DataFrame, theme: Theme, root: str) -> DataFrame:
                 g = g if isinstance(g, pa.Array) else g.chunk(0)
                 part = part.set_column(names.index("geometry"), "geometry", pa.ExtensionArray.from_storage(_Wkb(), g.cast(pa.binary())))
                 if writer is None:
-                    writer = pq.ParquetWriter(f"{at[1]}.{at[2]}", part.schema, compression="zstd")
+                    writer = pq.ParquetWriter(f"{at[1]}.{at[2]}", part.schema, compression="zstd", store_schema=False)  # else readers see that schema's metadata in place of the file's
                 writer.write_table(part, row_group_size=GROUP_ROWS)
                 buffered, held = rest.to_batches(), rest.num_rows
 
