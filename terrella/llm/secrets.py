@@ -213,9 +213,11 @@ def redacted(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id"
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
     clean = F.aggregate("__spans", start, step, lambda a: F.concat(F.array_join(a["parts"], ""), F.substr(t, (a["at"] + 1).cast("int"))))
-    fresh = {text: F.when(F.size("__spans") > 0, clean).otherwise(t)}
+    # A step of its own: inside a lambda, a name means the select's new column of that name before the old one.
+    d = d.withColumn("__clean", F.when(F.size("__spans") > 0, clean))
+    fresh = {text: F.coalesce(F.col("__clean"), t)}
     if length in df.columns:
-        fresh[length] = F.when(F.size("__spans") > 0, F.length(clean).cast("long")).otherwise(F.col(length))
+        fresh[length] = F.coalesce(F.length("__clean").cast("long"), F.col(length))
     return d.select(*[fresh.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
