@@ -133,7 +133,7 @@ def _linked(threshold: float, tables: int):
         raw = np.frombuffer(b"".join(table.column(8).to_pylist()), np.float64).reshape(-1, size)
         units = _units(table.column(8).to_pylist(), size)
         turned = units @ rotations(size, ROTATIONS * size)[: ROTATIONS * size].T
-        keys = table.column(9).combine_chunks().values.to_numpy().reshape(-1, tables)
+        keys = table.column(9).combine_chunks().flatten().to_numpy().reshape(-1, tables)
         signs = np.frombuffer(b"".join(table.column(10).to_pylist()), np.uint8).reshape(len(ids), -1)
         factor = table.column(11).to_numpy()
         at, left, right = (table.column(k)[0].as_py() for k in (0, 2, 3))
