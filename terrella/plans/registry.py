@@ -605,3 +605,60 @@ def o11_batches_of_five(spark, sf):
 @query("g12_distinct_regions", "SELECT DISTINCT c_nationkey AS nation FROM customer WHERE c_acctbal > 0")
 def g12_distinct_regions(spark, sf):
     return table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_nationkey").alias("nation")).distinct()
+
+
+# ---- Element assembly -----------------------------------------------------------------------------------------------
+
+
+def ways_and_nodes(spark, sf) -> dict[str, DataFrame]:
+    """Orders as ways over parts as nodes: a line item is a reference, a part lies at (size, price / 100)."""
+    tags = F.create_map(F.lit("highway"), F.lit("x"))
+    nodes = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("lon"), (F.col("p_retailprice") / 100).alias("lat"), tags.alias("tags"))
+    refs = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
+    ways = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(refs.alias("refs")).withColumn("tags", tags)
+    relations = spark.createDataFrame([], "id bigint, members array<struct<type:string,ref:bigint,role:string>>, tags map<string,string>")
+    return {"nodes": nodes, "ways": ways, "relations": relations}
+
+
+def one_region(spark, x1: float, y1: float, x2: float, y2: float) -> DataFrame:
+    r = spark.range(1).select(F.lit("XX-1").alias("iso"), F.struct(F.lit(x1).alias("xmin"), F.lit(y1).alias("ymin"), F.lit(x2).alias("xmax"), F.lit(y2).alias("ymax")).alias("region_extent"))
+    return r.withColumn("region_geometry", G.wkb_box("region_extent.xmin", "region_extent.ymin", "region_extent.xmax", "region_extent.ymax"))
+
+
+_INSIDE = "p_size > 10.5 AND p_size < 30.5 AND p_retailprice / 100 > 9.001 AND p_retailprice / 100 < 12.003"
+
+
+@query("j11_way_assembly", "SELECT l_orderkey AS way, count(*) AS points, string_agg(CAST(p_size AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey) AS sizes FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def j11_way_assembly(spark, sf):
+    from terrella.operators.elements import way_lines
+
+    e = ways_and_nodes(spark, sf)
+    lines = way_lines(e["ways"], e["nodes"])
+    return lines.select("way", F.size("line").cast("long").alias("points"), F.array_join(F.transform("line", lambda p: p["lon"].cast("int").cast("string")), ",").alias("sizes"))
+
+
+@query("e2_extract_simple", f"SELECT l_orderkey AS way, count(*) AS inside FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {_INSIDE} GROUP BY 1")
+def e2_extract_simple(spark, sf):
+    from terrella.operators.elements import extract, refs_of
+
+    e = ways_and_nodes(spark, sf)
+    got = extract(e["nodes"], e["ways"], e["relations"], one_region(spark, 10.5, 9.001, 30.5, 12.003))
+    at = refs_of(got["ways"]).join(got["nodes"].select(F.col("id").alias("ref")), "ref")
+    return at.groupBy("way").agg(F.count("*").alias("inside"))
+
+
+@query("e1_extract_complete_ways", f"SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {_INSIDE}) UNION SELECT p_partkey FROM part WHERE {_INSIDE}")
+def e1_extract_complete_ways(spark, sf):
+    from terrella.operators.elements import extract
+
+    e = ways_and_nodes(spark, sf)
+    return extract(e["nodes"], e["ways"], e["relations"], one_region(spark, 10.5, 9.001, 30.5, 12.003), "complete_ways")["nodes"].select("id")
+
+
+@query("e4_clipped_runs", f"WITH i AS (SELECT l_orderkey AS way, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS pos, p_size, p_retailprice FROM lineitem JOIN part ON l_partkey = p_partkey), k AS (SELECT way, pos - row_number() OVER (PARTITION BY way ORDER BY pos) AS run FROM i WHERE {_INSIDE}) SELECT way, count(*) AS points FROM k GROUP BY way, run HAVING count(*) >= 2")
+def e4_clipped_runs(spark, sf):
+    from terrella.operators.elements import clipped_runs, extract
+
+    e = ways_and_nodes(spark, sf)
+    got = extract(e["nodes"], e["ways"], e["relations"], one_region(spark, 10.5, 9.001, 30.5, 12.003))
+    return clipped_runs(e["ways"], got["nodes"]).select("way", F.size("line").cast("long").alias("points"))
