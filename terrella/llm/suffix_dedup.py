@@ -5,7 +5,9 @@ A string is LENGTH bytes; each byte under a string that starts anywhere else too
 Anchors: among the GRAM-byte windows of a string, the one with the least hash (leftmost if equal) is its
 anchor. Equal strings have equal anchors at equal places. Starts in a row with one anchor make a stretch, and
 only stretches whose anchors' contents occur again can hold repeats; no string is lost. Stretches that are
-equal as a whole are taken together and counted. What differs around the same anchor goes on.
+equal as a whole are taken together and counted. Of what differs around the same anchor, starts go on in runs
+at whole multiples of CORE from the anchor: the strings of a run share their middle, and where that is alone
+none of them repeats.
 
 Shards: the stretches that are left are cut into shards. A suffix is read in symbols of STRIDE bytes, so the
 transform of a shard has, for each suffix in order, the symbol that stands before it. The merge holds which
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +39,13 @@ from terrella.llm.common import release, small, staged
 from terrella.llm.near_dedup import _bounds, _groups
 from terrella.llm.shingles import mix, slices
 
-LENGTH, GRAM, STRIDE = 400, 32, 40
+LENGTH, GRAM, STRIDE = 400, 32, 100
 
-#: Different stretches of an anchor beyond which its strings are hashed; bytes of a merge and of a shard.
-HOT, MERGE, SHARD = 1000, 2_000_000, 250_000
+#: Different pieces of an anchor beyond which its strings are hashed; bytes of a merge and of a shard.
+HOT, MERGE, SHARD = 1000, 600_000, 100_000
+
+#: Starts whose strings share a core, in the filter before the merge and for hot anchors.
+CORE, HOT_CORE = 64, 16
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _PLACE = np.uint64((1 << 28) - 1)
@@ -192,8 +198,35 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, "row long, a int, b int, p int, anchor long, one long, two long")
 
 
+def _cores(docs: DataFrame, wanted: DataFrame, length: int, core: int) -> DataFrame:
+    """wanted: (row, list of (anchor, one, two, n, a, b, p)). The runs of each stretch, with the hash of their core."""
+
+    def run(batches):
+        for batch in batches:
+            for first, n, data, offsets in slices(batch, 0):
+                listed = batch.column(1).slice(first, n)
+                at = np.repeat(offsets[:-1], pa.compute.list_value_length(listed).to_numpy())
+                x = {f: c.to_numpy() for f, c in zip(("anchor", "one", "two", "n", "a", "b", "p"), listed.flatten().flatten())}
+                if not len(at):
+                    continue
+                # Runs of a stretch: starts a..b, of which start s stands (a + p - s) // core runs from the anchor.
+                c0, c1 = x["p"] // core, (x["p"] - (x["b"] - x["a"])) // core
+                count = c0 - c1 + 1
+                of = np.repeat(np.arange(len(at)), count)
+                c = np.repeat(c0, count) - (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count))
+                place = x["p"][of]
+                lo, hi = np.maximum(0, place - (c + 1) * core + 1), np.minimum((x["b"] - x["a"])[of], place - c * core)
+                anchor = (at + x["a"] + x["p"])[of]
+                salt = mix(c.astype(np.uint64) + x["anchor"].view(np.uint64)[of])
+                one = _Prefix(data, _BASES[1])
+                shared = mix(one(anchor - c * core, anchor - (c + 1) * core + 1 + length) + salt)
+                yield pa.RecordBatch.from_arrays([*[pa.array(x[f][of]) for f in ("anchor", "one", "two", "n")], pa.array(lo.astype(np.int64)), pa.array(hi.astype(np.int64)), pa.array(shared.view(np.int64))], ["anchor", "one", "two", "n", "lo", "hi", "core"])
+
+    return docs.join(wanted, "row").select("text", "list").mapInArrow(run, "anchor long, one long, two long, n long, lo long, hi long, core long")
+
+
 def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted: (row, list of (anchor, one, two, n, a, b, p)). The bytes of each listed stretch."""
+    """wanted: (row, list of (anchor, one, two, n, a, p, runs)). The bytes under each unbroken run of starts."""
 
     def run(batches):
         for batch in batches:
@@ -201,28 +234,36 @@ def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 raw = data.tobytes()
                 out = []
                 for i, listed in enumerate(batch.column(1).slice(first, n).to_pylist()):
-                    at = int(offsets[i])
-                    out += [(x["anchor"], x["one"], x["two"], x["n"], x["p"], raw[at + x["a"] : at + x["b"] + length]) for x in listed]
-                cols = list(zip(*out)) if out else [[]] * 6
-                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.binary())], ["anchor", "one", "two", "n", "p", "bytes"])
-
-    return docs.join(wanted, "row").select("text", "list").mapInArrow(run, "anchor long, one long, two long, n long, p long, bytes binary")
+                    for x in listed:
+                        at = int(offsets[i]) + x["a"]
+                        runs = sorted((r["lo"], r["hi"]) for r in x["runs"])
+                        joined = [list(runs[0])]
+                        for lo, hi in runs[1:]:
+                            if lo <= joined[-1][1] + 1:
+                                joined[-1][1] = hi
+                            else:
+                                joined.append([lo, hi])
+                        out += [(x["anchor"], x["one"], x["two"], x["n"], x["p"] - lo, lo, raw[at + lo : at + hi + length]) for lo, hi in joined]
+                cols = list(zip(*out)) if out else [[]] * 7
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:6]], pa.array(cols[6], pa.binary())], ["anchor", "one", "two", "n", "p", "base", "bytes"])
+
+    return docs.join(wanted, "row").select("text", "list").mapInArrow(run, "anchor long, one long, two long, n long, p long, base long, bytes binary")
 
 
 def _merge(length: int, stride: int):
-    """From rows (anchor, one, two, n, bytes) sorted by anchor: runs of repeated starts, as (one, two, lo, hi)."""
+    """From rows (anchor, one, two, n, base, bytes) sorted by anchor: runs of repeated starts, as (one, two, lo, hi)."""
 
     def found(table: pa.Table):
-        pieces = table.column(4).to_pylist()
+        pieces, base = table.column(5).to_pylist(), table.column(4).to_pylist()
         starts = repeated_starts(pieces, np.minimum(table.column(3).to_numpy(), 2), length, stride)
         one, two = table.column(1).to_pylist(), table.column(2).to_pylist()
-        out = [(one[i], two[i], lo, hi) for i, x in enumerate(starts) for lo, hi in _runs(x)]
+        out = [(one[i], two[i], base[i] + lo, base[i] + hi) for i, x in enumerate(starts) for lo, hi in _runs(x)]
         cols = list(zip(*out)) if out else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["one", "two", "lo", "hi"])
 
     def run(batches):
         for table in _groups(batches, 1):
-            sizes = np.cumsum([len(x) for x in table.column(4).to_pylist()])
+            sizes = np.cumsum(pa.compute.binary_length(table.column(5)).to_numpy())
             at = 0
             for a, b in _bounds(table, 1):
                 if sizes[b - 1] - (sizes[at - 1] if at else 0) >= MERGE or b == table.num_rows:
@@ -241,8 +282,8 @@ def _hashed(length: int, core: int):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                anchor, first, second, weight, place = (batch.column(k)[i].as_py() for k in range(5))
-                data = np.frombuffer(batch.column(5)[i].as_buffer(), np.uint8)
+                anchor, first, second, weight, place, base = (batch.column(k)[i].as_py() for k in range(6))
+                data = np.frombuffer(batch.column(6)[i].as_buffer(), np.uint8)
                 one = _Prefix(data, _BASES[0])
                 starts = np.arange(len(data) - length + 1)
                 of = (place - starts) // core
@@ -255,14 +296,14 @@ def _hashed(length: int, core: int):
                 strings = mix(one(starts, starts + length) + mix((place - starts).astype(np.uint64) + np.uint64(anchor & (2**64 - 1))))
                 same = lambda x: pa.array(np.full(len(lo), x, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [same(first), same(second), same(weight), pa.array(lo), pa.array(hi), pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64)), pa.ListArray.from_arrays(pa.array(np.concatenate((lo, [len(starts)])), pa.int32()), pa.array(strings.view(np.int64)))],
+                    [same(first), same(second), same(weight), pa.array(lo + base), pa.array(hi + base), pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64)), pa.ListArray.from_arrays(pa.array(np.concatenate((lo, [len(starts)])), pa.int32()), pa.array(strings.view(np.int64)))],
                     ["one", "two", "n", "lo", "hi", "core", "whole", "strings"],
                 )
 
     return run
 
 
-def _hot(segments: DataFrame, length: int, core: int = 16) -> DataFrame:
+def _hot(segments: DataFrame, length: int, core: int) -> DataFrame:
     """Runs of repeated starts (one, two, lo, hi) of anchors with very many stretches, by counts alone."""
     rows = staged(segments.mapInArrow(_hashed(length, core), "one long, two long, n long, lo long, hi long, core long, whole long, strings array<long>"))
     cores = rows.groupBy("core").agg(F.sum("n").alias("m"), (F.min("whole") != F.max("whole")).alias("mixed")).filter("m > 1")
@@ -286,15 +327,22 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, stride: int
     # Stretches that are equal as a whole: one of them stands for all.
     alike = again.filter("mixed").groupBy("anchor", "one", "two").agg(F.count("*").alias("n"), F.min(F.struct("row", "a", "b", "p")).alias("x"))
     alike = staged(alike.select("anchor", "one", "two", "n", "x.*"))
-    many = staged(alike.groupBy("anchor").agg(F.count("*").alias("d")).filter(F.col("d") > HOT))
-    wanted = alike.groupBy("row").agg(F.collect_list(F.struct("anchor", "one", "two", "n", "a", "b", "p")).alias("list"))
-    segments = staged(_segments(docs, small(staged(wanted)), length).dropDuplicates(["one", "two"]))
-    hot = segments.join(F.broadcast(many.select("anchor")), "anchor") if many.count() <= 100_000 else segments.join(many.select("anchor"), "anchor")
-    cold = segments.join(F.broadcast(many.select("anchor")), "anchor", "left_anti") if many.count() <= 100_000 else segments.join(many.select("anchor"), "anchor", "left_anti")
-    sorted_rows = cold.select("anchor", "one", "two", "n", "bytes").repartition("anchor").sortWithinPartitions("anchor")
+    stretch = ["anchor", "one", "two", "n", "a", "b", "p"]
+    wanted = alike.groupBy("row").agg(F.collect_list(F.struct(*stretch)).alias("list"))
+    runs = staged(_cores(docs, small(staged(wanted)), length, CORE).dropDuplicates(["one", "two", "lo"]))
+    shared = staged(runs.groupBy("core").agg(F.sum("n").alias("m")).filter("m > 1").select("core"))
+    kept = staged(runs.join(small(shared), "core").groupBy("one", "two").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
+    release(runs, shared)
+    wanted = alike.join(small(kept), ["one", "two"]).groupBy("row").agg(F.collect_list(F.struct("anchor", "one", "two", "n", "a", "p", "runs")).alias("list"))
+    segments = staged(_segments(docs, small(staged(wanted)), length).dropDuplicates(["one", "two", "base"]))
+    many = staged(segments.groupBy("anchor").agg(F.count("*").alias("d")).filter(F.col("d") > HOT).select("anchor"))
+    n_many = many.count()
+    cold = segments.join(small(many, n_many), "anchor", "left_anti")
+    sorted_rows = cold.select("anchor", "one", "two", "n", "base", "bytes").repartition("anchor").sortWithinPartitions("anchor")
     runs = staged(sorted_rows.mapInArrow(_merge(length, stride), "one long, two long, lo long, hi long"))
-    if many.count():
-        runs = staged(runs.union(_hot(hot, length)))
+    if n_many:
+        hot = segments.join(small(many, n_many), "anchor").select("anchor", "one", "two", "n", "p", "base", "bytes")
+        runs = staged(runs.union(_hot(hot, length, HOT_CORE)))
     in_mixed = again.filter("mixed").select("row", "a", "one", "two").join(small(runs), ["one", "two"]).select("row", (F.col("a") + F.col("lo")).alias("a"), (F.col("a") + F.col("hi")).alias("b"))
     return again.filter("not mixed").select("row", F.col("a").cast("long"), F.col("b").cast("long")).union(in_mixed)
 

@@ -40,9 +40,9 @@ def corpus(seed=5):
     return out
 
 
-@pytest.mark.parametrize("length, gram, stride, hot, shard, merge", [(20, 4, 4, 1000, 250_000, 2_000_000), (40, 5, 10, 1000, 300, 2000), (20, 4, 4, 2, 300, 2000)])
-def test_equals_counting(spark, monkeypatch, length, gram, stride, hot, shard, merge):
-    for k, v in (("HOT", hot), ("SHARD", shard), ("MERGE", merge)):
+@pytest.mark.parametrize("length, gram, stride, hot, shard, merge, core", [(20, 4, 4, 1000, 250_000, 2_000_000, 4), (40, 5, 10, 1000, 300, 2000, 8), (20, 4, 4, 2, 300, 2000, 4), (40, 5, 20, 2, 300, 2000, 6)])
+def test_equals_counting(spark, monkeypatch, length, gram, stride, hot, shard, merge, core):
+    for k, v in (("HOT", hot), ("SHARD", shard), ("MERGE", merge), ("CORE", core), ("HOT_CORE", core // 2)):
         monkeypatch.setattr(D, k, v)
     texts = corpus()
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
