@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 #: Word separators of every operator: space, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = "\\x20\\x09-\\x0D"
 
-#: A table is broadcast only if its counted rows are at most this many (narrow rows of under 100 bytes).
-BROADCAST_ROWS = 400_000
+#: A table is broadcast only if its counted rows, and the bytes of its files if it is staged, are at most so many.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 64_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,24 +45,28 @@ def staged(df: DataFrame) -> DataFrame:
     return back
 
 
+def _folder(df: DataFrame):
+    """(file system, path) of a staged table; None for others."""
+    path = getattr(df, "_staged_at", None)
+    if path is None:
+        return None
+    where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()), where
+
+
 def release(*frames: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for df in frames:
-        path = getattr(df, "_staged_at", None)
-        if path:
-            jvm = df.sparkSession._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        if at := _folder(df):
+            at[0].delete(at[1], True)
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark a staged table for broadcast if it is small; else leave the join to shuffle."""
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-
-def with_shuffle_join(df: DataFrame) -> DataFrame:
-    return df.hint("merge")
+    at = _folder(df)
+    size = at[0].getContentSummary(at[1]).getLength() if at else 0
+    return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def n_words(text: str):
