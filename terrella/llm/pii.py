@@ -10,6 +10,10 @@ where n(t, c) counts texts in which t stands near c, n(t) texts with t anywhere,
 PMI >= SHARE * IC, seen near c in LEAST texts at least, discloses c: its places near c become spans of kind
 term, and sanitised() generalises them. Exact copies of a text count once.
 
+An entity in fewer than LEAST texts is judged by the narrowest group around it that is in so many: the domain of
+an address, the network of an IP address, the issuer of a card, a phone number less its last four digits; at
+last, all entities of its kind. Then c above is the group. One or two texts alone are no evidence of disclosure.
+
 n(t) is counted only for terms that could still pass when n(t) is as low as the texts in which t stands near
 any entity; that bound drops common words before the corpus is counted.
 
@@ -82,6 +86,13 @@ def _entity(kind: int, value: str) -> str:
     return hashlib.sha256(f"{kind}:{plain}".encode()).hexdigest()[:24]
 
 
+def _groups(kind: int, value: str) -> tuple[str, str, str]:
+    """The entity, the group around it, its kind: hashes, narrowest first."""
+    digits = re.sub("[^0-9]", "", value)
+    around = (value.rpartition("@")[2].lower(), value.rpartition(".")[0], digits[:6], digits[:-4])[kind]
+    return _entity(kind, value), *(hashlib.sha256(x.encode()).hexdigest()[:24] for x in (f"group {kind}:{around}", f"kind {kind}"))
+
+
 def _near(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
     """(entity, term, start, end) of the terms near each entity, outside of all entities."""
     out = []
@@ -99,65 +110,76 @@ def _listed(spans) -> str:
 
 
 def _found(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows (row, copy, key, n_email, n_ip, n_card, n_phone, base, near); copy identifies the text. Staged."""
+    """Rows (row, copy, key, n_email, n_ip, n_card, n_phone, base, held, near); copy identifies the text. Staged."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
-                counts, base, near = [[], [], [], []], [], []
+                counts, base, held, near = [[], [], [], []], [], [], []
                 for t in b.column(3).to_pylist():
                     spans = base_spans(t)
                     for k in range(4):
                         counts[k].append(sum(s[0] == k for s in spans))
                     base.append(_listed(spans))
+                    held.append([dict(zip(("entity", "around", "kind"), x)) for x in sorted({_groups(k, t[a:b]) for k, a, b in spans})])
                     near.append([dict(zip(("entity", "term", "start", "end"), x)) for x in _near(t, spans)])
+                groups = pa.list_(pa.struct([("entity", pa.string()), ("around", pa.string()), ("kind", pa.string())]))
                 kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], *[pa.array(c, pa.int64()) for c in counts], pa.array(base, pa.string()), pa.array(near, kind)], ["row", "copy", key, "n_email", "n_ip", "n_card", "n_phone", "base", "near"])
+                yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], *[pa.array(c, pa.int64()) for c in counts], pa.array(base, pa.string()), pa.array(held, groups), pa.array(near, kind)], ["row", "copy", key, "n_email", "n_ip", "n_card", "n_phone", "base", "held", "near"])
 
     whole = F.coalesce(F.col(text), F.lit(""))
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(_row(key, text).alias("row"), F.xxhash64(whole).alias("copy"), F.col(key), whole.alias("__text"))
-    return staged(rows.mapInArrow(run, f"row long, copy long, {key} {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, near array<struct<entity:string,term:string,start:bigint,end:bigint>>"))
+    return staged(rows.mapInArrow(run, f"row long, copy long, {key} {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, held array<struct<entity:string,around:string,kind:string>>, near array<struct<entity:string,term:string,start:bigint,end:bigint>>"))
 
 
 def _row(key: str, text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
 
 
-def _disclosing(df: DataFrame, found: DataFrame, text: str, share: float, least: int) -> DataFrame:
-    """Rows (entity, term): the pairs above the threshold. Staged."""
-    pairs = found.filter(F.size("near") > 0).select("copy", F.explode("near").alias("x")).select("copy", "x.entity", "x.term").distinct()
-    pairs = staged(pairs)
-    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("tc")).filter(F.col("tc") >= least)
-    joint = staged(joint)
+def _judged(found: DataFrame, least: int) -> DataFrame:
+    """Rows (entity, by, c): the narrowest group of each entity that is in enough texts, and in how many. Staged."""
+    held = found.filter(F.size("held") > 0).select("copy", F.explode("held").alias("x")).select("copy", "x.*")
+    groups = F.array("entity", "around", "kind")
+    counts = staged(held.select("copy", F.explode(groups).alias("by")).distinct().groupBy("by").agg(F.count("*").alias("c")).filter(F.col("c") >= least))
+    levels = held.select("entity", F.posexplode(groups).alias("level", "by")).distinct().join(small(counts), "by")
+    return staged(levels.groupBy("entity").agg(F.min(F.struct("level", "by", "c")).alias("x")).select("entity", "x.by", "x.c"))
+
+
+def _disclosing(df: DataFrame, found: DataFrame, judged: DataFrame, text: str, share: float, least: int) -> DataFrame:
+    """Rows (by, term): the pairs above the threshold. Staged."""
+    near = found.filter(F.size("near") > 0).select("copy", F.explode("near").alias("x")).select("copy", "x.entity", "x.term")
+    pairs = staged(near.join(small(judged), "entity").select("copy", "by", "term").distinct())
+    joint = staged(pairs.groupBy("by", "term").agg(F.count("*").alias("tc")).filter(F.col("tc") >= least))
     texts = found.agg(F.count_distinct("copy")).first()[0]
     if not joint.limit(1).count():
-        return joint.select("entity", "term")
-    entities = pairs.groupBy("entity").agg(F.count_distinct("copy").alias("c"))
+        return joint.select("by", "term")
+    entities = judged.select("by", "c").distinct()
     least_df = pairs.groupBy("term").agg(F.count_distinct("copy").alias("t0"))
     n = F.lit(float(texts))
 
     def passes(t: Column) -> Column:
         return F.log2(n * F.col("tc") / (t * F.col("c"))) >= share * F.log2(n / F.col("c"))
 
-    could = staged(joint.join(entities, "entity").join(least_df, "term").filter((F.col("c") < texts) & passes(F.col("t0"))))
+    could = staged(joint.join(entities, "by").join(least_df, "term").filter((F.col("c") < texts) & passes(F.col("t0"))))
     terms = staged(could.select("term").distinct())
     if not terms.limit(1).count():
-        return could.select("entity", "term")
+        return could.select("by", "term")
     words = F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"(?<![A-Za-zÀ-ÖØ-öø-ɏ]){_WORD}(?![A-Za-zÀ-ÖØ-öø-ɏ])"), F.lit(0)), F.lower))
     counted = df.select(F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"), F.explode(words).alias("term")).join(small(terms), "term").distinct().groupBy("term").agg(F.count("*").alias("t"))
-    return staged(could.join(counted, "term").filter(passes(F.col("t"))).select("entity", "term"))
+    return staged(could.join(counted, "term").filter(passes(F.col("t"))).select("by", "term"))
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text", share: float = SHARE, least: int = LEAST) -> DataFrame:
     """Rows (row, key, counts of the base kinds, base, terms): spans as text; terms an array of (start, end)."""
     found = _found(df, key, text)
-    pairs = _disclosing(df, found, text, share, least)
+    judged = _judged(found, least)
+    pairs = _disclosing(df, found, judged, text, share, least)
     near = found.filter(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*")
-    terms = near.join(small(pairs), ["entity", "term"]).groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
+    terms = near.join(small(judged), "entity").join(small(pairs), ["by", "term"]).groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return found.drop("near", "copy").join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
+    return found.drop("held", "near", "copy").join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
 
 
 def report(df: DataFrame, key: str = "doc_id", text: str = "text", share: float = SHARE, least: int = LEAST) -> DataFrame:

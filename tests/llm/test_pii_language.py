@@ -48,6 +48,20 @@ def test_terms_that_disclose(spark):
     assert pii.report(d.limit(0)).collect() == []
 
 
+def test_terms_that_disclose_rare_entities(spark):
+    common = "common words here there other " * 6
+    # Each entity is in one text; only their domain, or in the end their kind, is in several.
+    near = [(i, f"alpha {common}write to user{i}@x.org of zebrafish {common} q{i}") for i in range(4)]
+    phones = [(20 + i, f"alpha {common}call +{i + 1}{i + 1} 55{i}7 123 456{i} at quokka {common}") for i in range(4)]
+    far = [(100 + i, f"{common} alpha write to call of at {i}") for i in range(60)]
+    got = {x.doc_id: x.spans for x in pii.report(spark.createDataFrame([*near, *phones, *far], "doc_id long, text string")).collect()}
+    for rows, kind, term in ((near, "email", "zebrafish"), (phones, "phone", "quokka")):
+        for i, t in rows:
+            at = t.index(term)
+            assert got[i].startswith(kind) and got[i].endswith(f",term:{at}:{at + len(term)}") and got[i].count("term") == 1
+    assert all(got[i] == "" for i, _ in far)
+
+
 def test_languages(spark, sf):
     docs = spark.read.parquet(sf.replace("0.001", "0.01") + "/documents.parquet")
     train, held = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")
