@@ -7,8 +7,9 @@ N of them, the information that t gives about c is
     PMI(t; c) = log2(N * n(t, c) / (n(t) * n(c)))      of      IC(c) = log2(N / n(c))
 
 where n(t, c) counts texts in which t stands near c, n(t) texts with t anywhere, n(c) texts with c. A term with
-PMI >= SHARE * IC, seen near c in LEAST texts at least, discloses c: its places near c become spans of kind
-term, and sanitised() generalises them. Exact copies of a text count once.
+PMI >= SHARE * IC, seen near c in LEAST texts at least, discloses c: its places in all texts that hold c become
+spans of kind term, and sanitised() generalises them. Exact copies of a text count once. Words are runs of
+letters, digits and underscores of any script, with their combining marks; what entities cover is no word.
 
 An entity in fewer than LEAST texts is judged by the narrowest group around it that is in so many: the domain of
 an address, the network of an IP address, the issuer of a card, a phone number less its last four digits; at
@@ -25,7 +26,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
+import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,7 +40,7 @@ from pyspark.sql import functions as F
 from terrella.llm.common import small, staged
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT, SHARE, LEAST, LONGEST = 80, 0.9, 3, 64
+CONTEXT, SHARE, LEAST = 80, 0.9, 3
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -42,9 +48,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Latin letters; the same class for Python's and Java's expressions.
-_WORD = "[A-Za-zÀ-ÖØ-öø-ɏ]{4,%d}" % LONGEST
-_TERM = re.compile(f"(?<![A-Za-zÀ-ÖØ-öø-ɏ]){_WORD}(?![A-Za-zÀ-ÖØ-öø-ɏ])")
+#: Letters, digits and underscores of any script, and combining marks, which \w leaves out.
+_MARKS = [i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == "M"]
+_RUNS = [[i for _, i in g] for _, g in groupby(enumerate(_MARKS), lambda x: x[1] - x[0])]
+_WORD = re.compile("[\\w" + "".join(f"{chr(r[0])}-{chr(r[-1])}" for r in _RUNS) + "]+")
+
+#: Slots of the bitmap that tells candidate terms from other words.
+SLOTS = 1 << 18
 
 
 def _luhn(digits: str) -> bool:
@@ -93,15 +103,25 @@ def _groups(kind: int, value: str) -> tuple[str, str, str]:
     return _entity(kind, value), *(hashlib.sha256(x.encode()).hexdigest()[:24] for x in (f"group {kind}:{around}", f"kind {kind}"))
 
 
-def _near(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the terms near each entity, outside of all entities."""
-    out = []
+def _words(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of the words between the entities."""
+    at = 0
+    for start, end in [*sorted((a, b) for _, a, b in spans), (len(text), len(text))]:
+        if start > at:
+            for m in _WORD.finditer(text, at, start):
+                yield m[0].lower(), m.start(), m.end()
+        at = max(at, end)
+
+
+def _near(text: str, spans: list[tuple[int, int, int]]) -> set[tuple[str, str]]:
+    """(entity, term) of the terms near each entity, outside of all entities."""
+    words = list(_words(text, spans)) if spans else []
+    starts, ends = [w[1] for w in words], [w[2] for w in words]
+    out = set()
     for kind, start, end in spans:
         entity = _entity(kind, text[start:end])
-        for a, b in ((max(0, start - CONTEXT), start), (end, min(len(text), end + CONTEXT))):
-            for m in _TERM.finditer(text, a, b):
-                if (m.start() > a or a == 0 or a == end) and (m.end() < b or b == len(text) or b == start) and not any(s < m.end() and m.start() < e for _, s, e in spans):
-                    out.append((entity, m[0].lower(), m.start(), m.end()))
+        for a, b in ((start - CONTEXT, start), (end, end + CONTEXT)):
+            out.update((entity, w[0]) for w in words[bisect_left(starts, a) : bisect_right(ends, b)])
     return out
 
 
@@ -123,15 +143,15 @@ def _found(df: DataFrame, key: str, text: str) -> DataFrame:
                         counts[k].append(sum(s[0] == k for s in spans))
                     base.append(_listed(spans))
                     held.append([dict(zip(("entity", "around", "kind"), x)) for x in sorted({_groups(k, t[a:b]) for k, a, b in spans})])
-                    near.append([dict(zip(("entity", "term", "start", "end"), x)) for x in _near(t, spans)])
+                    near.append([dict(zip(("entity", "term"), x)) for x in sorted(_near(t, spans))])
                 groups = pa.list_(pa.struct([("entity", pa.string()), ("around", pa.string()), ("kind", pa.string())]))
-                kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+                kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
                 yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(3)], *[pa.array(c, pa.int64()) for c in counts], pa.array(base, pa.string()), pa.array(held, groups), pa.array(near, kind)], ["row", "copy", key, "n_email", "n_ip", "n_card", "n_phone", "base", "held", "near"])
 
     whole = F.coalesce(F.col(text), F.lit(""))
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(_row(key, text).alias("row"), F.xxhash64(whole).alias("copy"), F.col(key), whole.alias("__text"))
-    return staged(rows.mapInArrow(run, f"row long, copy long, {key} {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, held array<struct<entity:string,around:string,kind:string>>, near array<struct<entity:string,term:string,start:bigint,end:bigint>>"))
+    return staged(rows.mapInArrow(run, f"row long, copy long, {key} {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, held array<struct<entity:string,around:string,kind:string>>, near array<struct<entity:string,term:string>>"))
 
 
 def _row(key: str, text: str) -> Column:
@@ -147,14 +167,43 @@ def _judged(found: DataFrame, least: int) -> DataFrame:
     return staged(levels.groupBy("entity").agg(F.min(F.struct("level", "by", "c")).alias("x")).select("entity", "x.by", "x.c"))
 
 
-def _disclosing(df: DataFrame, found: DataFrame, judged: DataFrame, text: str, share: float, least: int) -> DataFrame:
-    """Rows (by, term): the pairs above the threshold. Staged."""
+def _places(df: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (row, copy, term, at): the terms in each text, with their places if it holds an entity. Staged."""
+    slots = bytearray(SLOTS)
+    for r in terms.select(F.pmod(F.crc32("term"), F.lit(SLOTS)).alias("slot")).distinct().collect():
+        slots[r["slot"]] = 1
+    slots = bytes(slots)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        place = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                out = [[], [], [], []]
+                for row, copy, t in zip(*(c.to_pylist() for c in batch.slice(first, 256).columns)):
+                    spans = base_spans(t)
+                    terms: dict[str, list] = {}
+                    for w, a, b in _words(t, spans):
+                        terms.setdefault(w, []).append((a, b))
+                    for w, at in terms.items():
+                        if slots[zlib.crc32(w.encode()) % SLOTS]:
+                            for c, x in zip(out, (row, copy, w, [{"start": a, "end": b} for a, b in at] if spans else [])):
+                                c.append(x)
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.string(), place))], ["row", "copy", "term", "at"])
+
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = df.select(_row(key, text).alias("row"), F.xxhash64(whole).alias("copy"), whole.alias("__text"))
+    # Words that share a slot with a term go here.
+    return staged(rows.mapInArrow(run, "row long, copy long, term string, at array<struct<start:bigint,end:bigint>>").join(small(terms), "term", "left_semi").select("row", "copy", "term", "at"))
+
+
+def _disclosing(df: DataFrame, found: DataFrame, judged: DataFrame, key: str, text: str, share: float, least: int) -> tuple[DataFrame, DataFrame] | None:
+    """Rows (by, term), the pairs above the threshold, and _places() of the terms; None if there are no such. Staged."""
     near = found.filter(F.size("near") > 0).select("copy", F.explode("near").alias("x")).select("copy", "x.entity", "x.term")
     pairs = staged(near.join(small(judged), "entity").select("copy", "by", "term").distinct())
     joint = staged(pairs.groupBy("by", "term").agg(F.count("*").alias("tc")).filter(F.col("tc") >= least))
     texts = found.agg(F.count_distinct("copy")).first()[0]
     if not joint.limit(1).count():
-        return joint.select("by", "term")
+        return None
     entities = judged.select("by", "c").distinct()
     least_df = pairs.groupBy("term").agg(F.count_distinct("copy").alias("t0"))
     n = F.lit(float(texts))
@@ -165,20 +214,24 @@ def _disclosing(df: DataFrame, found: DataFrame, judged: DataFrame, text: str, s
     could = staged(joint.join(entities, "by").join(least_df, "term").filter((F.col("c") < texts) & passes(F.col("t0"))))
     terms = staged(could.select("term").distinct())
     if not terms.limit(1).count():
-        return could.select("by", "term")
-    words = F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(f"(?<![A-Za-zÀ-ÖØ-öø-ɏ]){_WORD}(?![A-Za-zÀ-ÖØ-öø-ɏ])"), F.lit(0)), F.lower))
-    counted = df.select(F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"), F.explode(words).alias("term")).join(small(terms), "term").distinct().groupBy("term").agg(F.count("*").alias("t"))
-    return staged(could.join(counted, "term").filter(passes(F.col("t"))).select("by", "term"))
+        return None
+    places = _places(df, terms, key, text)
+    counted = places.select("copy", "term").distinct().groupBy("term").agg(F.count("*").alias("t"))
+    return staged(could.join(counted, "term").filter(passes(F.col("t"))).select("by", "term")), places
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text", share: float = SHARE, least: int = LEAST) -> DataFrame:
     """Rows (row, key, counts of the base kinds, base, terms): spans as text; terms an array of (start, end)."""
     found = _found(df, key, text)
     judged = _judged(found, least)
-    pairs = _disclosing(df, found, judged, text, share, least)
-    near = found.filter(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*")
-    terms = near.join(small(judged), "entity").join(small(pairs), ["by", "term"]).groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    disclosing = _disclosing(df, found, judged, key, text, share, least)
+    if disclosing is None:
+        return found.drop("held", "near", "copy").withColumn("terms", none)
+    pairs, places = disclosing
+    held = found.filter(F.size("held") > 0).select("row", F.explode("held").alias("x")).select("row", "x.entity").join(small(judged), "entity").select("row", "by").distinct()
+    marked = held.join(places.filter(F.size("at") > 0).select("row", "term", "at"), "row").join(small(pairs), ["by", "term"])
+    terms = marked.select("row", F.explode("at").alias("x")).groupBy("row").agg(F.array_sort(F.collect_set("x")).alias("terms"))
     return found.drop("held", "near", "copy").join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none))
 
 

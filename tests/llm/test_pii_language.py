@@ -62,6 +62,20 @@ def test_terms_that_disclose_rare_entities(spark):
     assert all(got[i] == "" for i, _ in far)
 
 
+def test_terms_of_any_script_are_found_in_the_whole_text(spark):
+    common = "common words here there other " * 6
+    for term in ("Li", "Иванов", "王小明", "हिन्दी", "k9_x", "z" * 70):
+        near = [(i, f"{term} {common} write to jane@x.org {term}, {i} {common} by {term.upper()}.") for i in range(4)]
+        # Holds the entity, and the term far from it; the same term without the entity stays.
+        near.append((9, f"{term}: {common} {common} ask jane@x.org {common} write to by"))
+        far = [(100 + i, f"{common} write to ask by {i}") for i in range(60)]
+        got = {x.doc_id: x.spans for x in pii.report(spark.createDataFrame([*near, *far], "doc_id long, text string")).collect()}
+        for i, t in near:
+            want = [f"term:{m.start()}:{m.end()}" for m in re.finditer(re.escape(term), t, re.I)]
+            assert got[i].split(",")[1:] == want and len(want) == (1 if i == 9 else 3), (term, got[i])
+        assert all(got[i] == "" for i, _ in far)
+
+
 def test_languages(spark, sf):
     docs = spark.read.parquet(sf.replace("0.001", "0.01") + "/documents.parquet")
     train, held = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")
