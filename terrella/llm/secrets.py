@@ -15,7 +15,7 @@ table gives no rows. Only the named columns are read, all others pass through be
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 from re import _constants as C
 from re import _parser as parser
@@ -31,26 +31,34 @@ BLOCK, RUN = 4096, 256
 
 @dataclass(frozen=True)
 class Rule:
-    """least: characters that the match, or its group, has to have; shorter matches are dropped."""
+    """least: characters that the match, or its group, has to have; shorter matches are dropped.
+
+    whole: the expression for redaction, where a secret goes on beyond what the report's pattern takes.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
     base: bool = False
+    whole: str | None = None
+
 
+#: What follows a private key's header: all up to its END line, or without one the base64 lines. Possessive, so
+#: that Java runs through them without recursion.
+_BODY = r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,32}PRIVATE KEY-----|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+)*+(?:(?:\r?\n|\\n)[A-Za-z0-9+/=]++(?![^\r\n]))?+)"
 
 RULES = (
     Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8, True),
     Rule("access", "AKIA[A-Z0-9]+", 0, 16, True),
     Rule("hex", "[0-9a-f]{32,}", 0, 32, True),  # a run of hex digits is one match either way
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,255}"),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,255}", whole="gh[pousr]_[A-Za-z0-9]{36,}+"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,255}", whole="xox[abprs]-[A-Za-z0-9-]{10,}+"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),
-    Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,255}"),
-    Rule("private", "-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"),
-    Rule("bearer", r"eyJ[A-Za-z0-9_-]{8,999}\.eyJ[A-Za-z0-9_-]{8,999}\.[A-Za-z0-9_-]{0,999}"),
-    Rule("login", f"[a-z]{{2,10}}://[^/{SEPARATORS}:@]{{1,64}}:[^/{SEPARATORS}:@]{{1,64}}@"),
+    Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,255}", whole="[rs]k_live_[A-Za-z0-9]{16,}+"),
+    Rule("private", "-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", whole=f"-----BEGIN [A-Z ]{{0,32}}PRIVATE KEY-----{_BODY}"),
+    Rule("bearer", r"eyJ[A-Za-z0-9_-]{8,999}\.eyJ[A-Za-z0-9_-]{8,999}\.[A-Za-z0-9_-]{0,999}", whole=r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+"),
+    Rule("login", f"[a-z]{{2,10}}://[^/{SEPARATORS}:@]{{1,64}}:[^/{SEPARATORS}:@]{{1,64}}@", whole=f"[a-z]{{2,10}}://[^/{SEPARATORS}:@]++:[^/{SEPARATORS}:@]++@"),
 )
 
 #: Strings that stand for a part of an expression, and clauses, at most; beyond, the part counts as unknown.
@@ -203,7 +211,7 @@ def report(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
 
 def redacted(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]", length: str | None = "n_chars") -> DataFrame:
     """df with each secret in its text, or run of secrets that overlap, replaced by a mark."""
-    d = scan(df, rules, key, text, "__spans")
+    d = scan(df, tuple(replace(r, pattern=r.whole or r.pattern) for r in rules), key, text, "__spans")
     t = F.col(text)
 
     def step(a, s):

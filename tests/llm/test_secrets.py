@@ -49,6 +49,28 @@ def test_redacted(spark):
     assert got == {1: ('é [SECRET]" x', 13), 2: ("clean", 5), 3: (None, None), 4: ("[SECRET]", 8)}
 
 
+def test_redacted_takes_whole_secrets(spark):
+    line = "Ab+/" * 16
+    lines = [f"{k:04}{line[4:]}" for k in range(3000)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    part = "aB3_-" * 400
+    cases = {
+        f"x {begin}\n{line}\n{line}\nQ0==\n{end} y": "x [SECRET] y",
+        f"x {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n{line}\n{end}\ny": "x [SECRET]\ny",
+        f"x {begin}\n" + "\n".join(lines) + "\nQ0s\nand prose.": "x [SECRET]\nand prose.",
+        f"x {begin}\n" + "- " * 30000 + f"{end} y": "x [SECRET] y",
+        f"x {begin}\\n{line}\\n{line}\\n, y": "x [SECRET]\\n, y",
+        f"x {begin} is only a header": "x [SECRET] is only a header",
+        f"x {begin}\n{line}\n{begin}\n{line}\n{end} y": "x [SECRET]\n[SECRET] y",
+        f"x eyJ{part}.eyJ{part}.{part} y": "x [SECRET] y",
+        f"x https://{'u' * 90}:{'p' * 300}@host y": "x [SECRET]host y",
+        f"x ghp_{'aZ9' * 200} xoxb-{'1Z' * 200} sk_live_{'aZ' * 200} y": "x [SECRET] [SECRET] [SECRET] y",
+    }
+    d = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in S.redacted(d).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
 def test_queries_hold_for_any_match():
     made = {"assign": "x api_key:'abcdefgh12", "access": "AKIAABCDEFGHIJKLMN", "github": "gho_" + "Z" * 36, "slack": "xoxp-1234567890", "google": "AIza" + "b" * 35, "stripe": "rk_live_" + "a" * 20, "private": "-----BEGIN PRIVATE KEY-----", "bearer": "eyJabcdefgh.eyJabcdefgh.x", "login": "ftp://a:b@"}
     for rule in S.RULES:
