@@ -6,6 +6,8 @@ language (markup), address suffix: the model holds how often each stands with ea
 Host priors: the text's verdicts are counted by host in a grouped aggregation and smoothed towards the counts
 of the host's suffix, and those towards all counts. The posterior multiplies what there is of these.
 
+Pages have no labels: with_evidence() counts their declared languages and suffixes against the text's verdicts.
+
 Rules for odd rows: a null or empty text says nothing, and the other evidence decides; a null declared
 language, address or host is no evidence; repeated rows each get their own result; an empty table gives no rows.
 Only the named columns are read.
@@ -14,7 +16,7 @@ Only the named columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +67,26 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
 
 
+def markup(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """df with the columns text (less scripts, styles, comments, tags), declared (of the html tag) and host; null where there is none."""
+    words = F.regexp_replace(F.regexp_replace(F.col(html), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*+>|<[^>]*+>", " "), "&#?[A-Za-z0-9]++;", " ")
+    lang = F.regexp_extract(F.col(html), r"""(?i)<html\b[^>]*?\slang\s*+=\s*+["']?([A-Za-z]+)""", 1)
+    return df.withColumns({"text": words, "declared": F.lower(F.nullif(lang, F.lit(""))), "host": F.nullif(host_of(F.col(url)), F.lit(""))})
+
+
+def with_evidence(model: Model, df: DataFrame, key: str, text: str = "text", declared: str = "declared", host: str = "host", sample: int = SAMPLE) -> Model:
+    """model with what declared languages and suffixes say, from the text's verdicts on rows without labels."""
+    said = identify(df, model, key, text).filter("text_language is not null").select(key, F.col("text_language").alias("__said")).dropDuplicates([key])
+    found = fit(df.join(said, key), text, "__said", declared, host, sample)
+    place = {x: i for i, x in enumerate(found.languages)}
+
+    def placed(logs: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        # A language without a verdict counts as the least likely of those with one.
+        return {k: np.array([v[place[x]] if x in place else v.min() for x in model.languages]) for k, v in logs.items()}
+
+    return replace(model, declared=placed(found.declared), suffix=placed(found.suffix))
+
+
 def fit(df: DataFrame, text: str, label: str, declared: str | None = None, host: str | None = None, sample: int = SAMPLE) -> Model:
     """The model of a hash sample of about so many labelled rows."""
     labelled = df.filter(F.col(label).isNotNull() & F.col(text).isNotNull())

@@ -48,8 +48,14 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language_id.fit(docs, "text", "lang", declared="lang")
-    return language_id.identify(docs, model, declared="lang", host="source")
+    return language_id.identify(docs, language_id.fit(docs, "text", "lang"), host="source")
+
+
+def op7_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages: their text, the language that their markup declares, host and suffix; the text model is of documents."""
+    pages = language_id.markup(table(spark, sf_dir, "pages"))
+    model = language_id.with_evidence(language_id.fit(table(spark, sf_dir, "documents"), "text", "lang"), pages, "page_id")
+    return language_id.identify(pages, model, "page_id", declared="declared", host="host")
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
+    "op7_language_id_pages": op7_language_id_pages,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_source_mix": op10_source_mix,

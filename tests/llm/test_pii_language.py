@@ -101,3 +101,28 @@ def test_address_parts(spark):
     d = spark.createDataFrame([("https://u@www.a.fr:80/x?y", "www.a.fr", "fr"), ("http://B.De", "b.de", "de"), ("nothing", "", "")], "url string, host string, suffix string")
     got = d.select(L.host_of(d.url).alias("h"), L.suffix_of(L.host_of(d.url)).alias("s"), "host", "suffix").collect()
     assert all((r.h, r.s) == (r.host, r.suffix) for r in got)
+
+
+def test_pages(spark, sf, monkeypatch):
+    from terrella.llm import queries
+
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    seen = {}
+    identify = L.identify
+    monkeypatch.setattr(L, "identify", lambda df, model, *a, **k: seen.update(model=model, **k) or identify(df, model, *a, **k))
+    got = queries.QUERIES["op7_language_id_pages"](spark, sf).collect()
+    said = {r.page_id: r.declared for r in L.markup(pages).collect()}
+    assert sorted(r.page_id for r in got) == sorted(said) and seen["declared"] and seen["host"]
+    assert set(seen["model"].suffix) == {"com", "net", "org"} and seen["model"].declared
+    assert sum(r.language == said[r.page_id] for r in got) >= 0.95 * len(got)
+    # The label that the model is fitted on is no evidence.
+    seen.clear()
+    queries.op7_language_id(spark, sf)
+    assert not seen.get("declared") and not seen["model"].declared
+
+
+def test_markup(spark):
+    rows = [('<!DOCTYPE html><HTML class="x" lang=\'pt-BR\'><script>var t="</p> the";</script><!-- a > b --><p title="q">ol&aacute; voc\u00ea</p>', "https://www.A.br/x"), ("<p>x</p>", "none"), (None, None)]
+    got = L.markup(spark.createDataFrame(rows, "html string, url string")).collect()
+    assert (got[0].text.split(), got[0].declared, got[0].host) == (["ol", "voc\u00ea"], "pt", "www.a.br")
+    assert [(r.declared, r.host) for r in got[1:]] == [(None, None)] * 2 and got[2].text is None
