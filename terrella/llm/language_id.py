@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from terrella.llm.common import small, staged
 from terrella.llm.shingles import slices
 
-#: Labelled rows that the model is fitted on, about; hashed trigrams; languages at most.
-SAMPLE, BUCKETS, LANGUAGES = 4000, 1 << 15, 64
+#: Labelled rows that the model is fitted on, about; hashed trigrams.
+SAMPLE, BUCKETS = 4000, 1 << 15
 
 #: The weight of a trigram's likelihood, and of a parent's share in rows.
 PER_TRIGRAM, ROWS = 0.2, 20.0
@@ -50,7 +50,7 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 @dataclass
 class Model:
-    """Log likelihoods by language; everything in it is bounded by LANGUAGES and BUCKETS."""
+    """Log likelihoods by language; everything in it is bounded by SAMPLE and BUCKETS."""
 
     languages: list[str]
     text: np.ndarray
@@ -107,20 +107,18 @@ def fit(df: DataFrame, text: str, label: str, declared: str | None = None, host:
                     yield pa.RecordBatch.from_arrays([pa.array([language] * len(at), pa.string()), pa.array(at), pa.array(got[at])], ["l", "gram", "n"])
 
     rows = staged(rows)
-    sizes = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("l").count().collect()
     languages = sorted(r["l"] for r in sizes)
     place = {x: i for i, x in enumerate(languages)}
     counts = np.full((len(languages), BUCKETS), 0.5)
     for r in rows.mapInArrow(count, "l string, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")).collect():
-        if r["l"] in place:
-            counts[place[r["l"]], r["gram"]] += r["n"]
+        counts[place[r["l"]], r["gram"]] += r["n"]
     prior = np.array([{r["l"]: r["count"] for r in sizes}[x] + 1.0 for x in languages])
 
     def held(column: str) -> dict[str, np.ndarray]:
         got: dict[str, np.ndarray] = {}
-        for r in rows.filter(F.length(column) > 0).groupBy(column, "l").count().orderBy(F.desc("count"), column, "l").limit(LANGUAGES * LANGUAGES).collect():
-            if r["l"] in place:
-                got.setdefault(r[column], np.full(len(languages), 1.0))[place[r["l"]]] += r["count"]
+        for r in rows.filter(F.length(column) > 0).groupBy(column, "l").count().collect():
+            got.setdefault(r[column], np.full(len(languages), 1.0))[place[r["l"]]] += r["count"]
         return {k: np.log(v / (prior + len(got) + 1)) for k, v in got.items()}
 
     text_log = np.log(counts / counts.sum(axis=1, keepdims=True)) if languages else counts

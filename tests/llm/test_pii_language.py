@@ -126,3 +126,14 @@ def test_markup(spark):
     got = L.markup(spark.createDataFrame(rows, "html string, url string")).collect()
     assert (got[0].text.split(), got[0].declared, got[0].host) == (["ol", "voc\u00ea"], "pt", "www.a.br")
     assert [(r.declared, r.host) for r in got[1:]] == [(None, None)] * 2 and got[2].text is None
+
+
+def test_all_languages_of_the_sample_count(spark):
+    r = random.Random(5)
+    words = {f"l{k:02}": ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(8)] for k in range(70)}
+    rows = [(f"{k} {i}", " ".join(r.choice(w) for _ in range(12)), k, f"d{k}", f"h.{k[0]}{chr(97 + int(k[1]))}{chr(97 + int(k[2]))}") for k, w in words.items() for i in range(5)]
+    d = spark.createDataFrame(rows, "doc_id string, text string, lang string, declared string, host string")
+    m = L.fit(d, "text", "lang", "declared", "host")
+    assert m.languages == sorted(words) and len(m.declared) == len(m.suffix) == 70
+    got = L.identify(d, m).collect()
+    assert len(got) == 350 and all(x.language == x.doc_id.split()[0] for x in got)
