@@ -23,22 +23,23 @@ UNITS = {
     "PB": 10**15,
 }
 
-_NUMBER, _UNIT = r"[\d.]+", "[KMGTP]?i?B"
+#: How a size, a progress and a byte range are written.
+SIZE = r"([\d.]+)\s*([KMGTP]?i?B)\b"
+PROGRESS = r"([\d.]+\s*[KMGTP]?i?B)\s*/\s*([\d.]+\s*[KMGTP]?i?B)"
+RANGE = r"^bytes=(\d*)-(\d*)$"
 
 
 def parse_size(text: Column) -> Column:
     """Bytes that a text such as 1.5 GiB states, cut to whole ones; 0 if it states none."""
-    pattern = rf"({_NUMBER})\s*({_UNIT})\b"
-    number = F.regexp_extract(text, pattern, 1).try_cast("double")
-    unit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in UNITS.items() for x in kv]), F.regexp_extract(text, pattern, 2)), F.lit(1))
+    number = F.regexp_extract(text, SIZE, 1).try_cast("double")
+    unit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in UNITS.items() for x in kv]), F.regexp_extract(text, SIZE, 2)), F.lit(1))
     return F.coalesce((number * unit).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def parse_progress(text: Column) -> Column:
     """(done, total) in bytes from a text such as 3 MiB / 1 GiB; null if there is none."""
-    pattern = rf"({_NUMBER}\s*{_UNIT})\s*/\s*({_NUMBER}\s*{_UNIT})"
-    parts = F.struct(parse_size(F.regexp_extract(text, pattern, 1)).alias("done"), parse_size(F.regexp_extract(text, pattern, 2)).alias("total"))
-    return F.when(text.rlike(pattern), parts)
+    parts = F.struct(parse_size(F.regexp_extract(text, PROGRESS, 1)).alias("done"), parse_size(F.regexp_extract(text, PROGRESS, 2)).alias("total"))
+    return F.when(text.rlike(PROGRESS), parts)
 
 
 def format_bytes(size: Column) -> Column:
@@ -77,9 +78,9 @@ def decode_component(text: Column) -> Column:
 
 def parse_range(header: Column) -> Column:
     """(first, last) of bytes=a-b; with first null, last counts from the end. Null: no range, as for bytes=- too."""
-    bare, pattern = F.trim(header), r"^bytes=(\d*)-(\d*)$"
-    first, last = (F.regexp_extract(bare, pattern, k).try_cast("bigint") for k in (1, 2))
-    return F.when(bare.rlike(pattern) & (first.isNotNull() | last.isNotNull()), F.struct(first.alias("first"), last.alias("last")))
+    bare = F.trim(header)
+    first, last = (F.regexp_extract(bare, RANGE, k).try_cast("bigint") for k in (1, 2))
+    return F.when(bare.rlike(RANGE) & (first.isNotNull() | last.isNotNull()), F.struct(first.alias("first"), last.alias("last")))
 
 
 def range_bounds(parsed: Column, size: Column) -> Column:

@@ -10,46 +10,20 @@ from pyspark.sql import functions as F
 
 from terrella.functions import tags as T
 
-#: Each theme's name, filter, geometry kinds and typed columns. A column is a string unless it
-#: ends in :i (int) or :d (double); name=key where the tag's key differs from the column's name.
-CATALOGUE = """
-buildings | wr/building | polygon | building name levels:i=building:levels height:d addr_street=addr:street addr_housenumber=addr:housenumber addr_postcode=addr:postcode addr_city=addr:city operator start_date
-roads | w/highway | linestring | highway name ref oneway surface maxspeed lanes:i bridge tunnel access bicycle foot motor_vehicle
-railways | nwr/railway | point,linestring | railway name ref operator gauge:i electrified usage service
-waterways | w/waterway | linestring | waterway name width:d intermittent tunnel
-water | wr/natural=water wr/water | polygon | water natural name intermittent salt
-landuse | wr/landuse | polygon | landuse name operator
-natural_areas | wr/natural | polygon | natural name wetland
-natural_features | n/natural | point | natural name ele:d prominence:d
-places | n/place | point | place name population:i admin_level:i capital is_in
-boundaries | r/boundary=administrative | polygon | boundary admin_level:i name border_type iso3166_1=ISO3166-1 iso3166_2=ISO3166-2
-pois | n/amenity n/shop n/tourism n/leisure n/office n/healthcare | point | amenity shop tourism leisure office healthcare name brand operator website opening_hours phone cuisine
-amenities_polygons | wr/amenity wr/shop wr/tourism wr/leisure wr/office wr/healthcare | polygon | amenity shop tourism leisure office healthcare name brand operator website opening_hours phone cuisine
-power | nwr/power | point,linestring,polygon | power name voltage:i frequency:d operator cables:i
-aeroways | nwr/aeroway | point,linestring,polygon | aeroway name iata icao ref surface
-barriers | nw/barrier | point,linestring | barrier name access height:d material
-public_transport | n/public_transport n/highway=bus_stop n/railway=station,halt,tram_stop,subway_entrance | point | public_transport highway railway name ref operator network bench shelter
-"""
-
 #: The columns before and after the typed ones.
 BASE_FIRST, BASE_LAST = ("osm_id", "osm_type", "country", "state", "state_iso"), ("tags", "bbox", "geometry")
 
 _KINDS = {"n": "node", "w": "way", "r": "relation"}
-_TYPES = {"i": "int", "d": "double"}
 
 
 @dataclass(frozen=True)
 class TypedColumn:
+    """A column promoted from the tag at key; without a key, from that of its own name."""
+
     name: str
-    key: str
+    key: str = ""
     kind: str = "string"
 
-    @classmethod
-    def parse(cls, text: str) -> TypedColumn:
-        left, _, key = text.partition("=")
-        name, _, kind = left.partition(":")
-        return cls(name, key or name, _TYPES.get(kind, "string"))
-
 
 @dataclass(frozen=True)
 class Theme:
@@ -65,15 +39,242 @@ class Theme:
         return f"osm_id bigint, osm_type string, country string, state string, state_iso string, {typed}, tags map<string,string>, bbox struct<xmin:float,ymin:float,xmax:float,ymax:float>, geometry binary"
 
     def typed(self, tags: str = "tags") -> list[Column]:
-        return [T.tag(tags, c.key, c.kind).alias(c.name) for c in self.columns]
-
-
-def _theme(line: str) -> Theme:
-    name, tag_filter, geometries, columns = (x.strip() for x in line.split("|"))
-    return Theme(name, tag_filter, tuple(geometries.split(",")), tuple(TypedColumn.parse(c) for c in columns.split()))
-
-
-THEMES: dict[str, Theme] = {t.name: t for t in map(_theme, CATALOGUE.strip().splitlines())}
+        return [T.tag(tags, c.key or c.name, c.kind).alias(c.name) for c in self.columns]
+
+
+#: Each theme's name, filter, geometry kinds and typed columns.
+THEMES: dict[str, Theme] = {
+    t.name: t
+    for t in (
+        Theme(
+            "buildings",
+            "wr/building",
+            ("polygon",),
+            (
+                TypedColumn("building"),
+                TypedColumn("name"),
+                TypedColumn("levels", "building:levels", "int"),
+                TypedColumn("height", "height", "double"),
+                TypedColumn("addr_street", "addr:street"),
+                TypedColumn("addr_housenumber", "addr:housenumber"),
+                TypedColumn("addr_postcode", "addr:postcode"),
+                TypedColumn("addr_city", "addr:city"),
+                TypedColumn("operator"),
+                TypedColumn("start_date"),
+            ),
+        ),
+        Theme(
+            "roads",
+            "w/highway",
+            ("linestring",),
+            (
+                TypedColumn("highway"),
+                TypedColumn("name"),
+                TypedColumn("ref"),
+                TypedColumn("oneway"),
+                TypedColumn("surface"),
+                TypedColumn("maxspeed"),
+                TypedColumn("lanes", "lanes", "int"),
+                TypedColumn("bridge"),
+                TypedColumn("tunnel"),
+                TypedColumn("access"),
+                TypedColumn("bicycle"),
+                TypedColumn("foot"),
+                TypedColumn("motor_vehicle"),
+            ),
+        ),
+        Theme(
+            "railways",
+            "nwr/railway",
+            ("point", "linestring"),
+            (
+                TypedColumn("railway"),
+                TypedColumn("name"),
+                TypedColumn("ref"),
+                TypedColumn("operator"),
+                TypedColumn("gauge", "gauge", "int"),
+                TypedColumn("electrified"),
+                TypedColumn("usage"),
+                TypedColumn("service"),
+            ),
+        ),
+        Theme(
+            "waterways",
+            "w/waterway",
+            ("linestring",),
+            (
+                TypedColumn("waterway"),
+                TypedColumn("name"),
+                TypedColumn("width", "width", "double"),
+                TypedColumn("intermittent"),
+                TypedColumn("tunnel"),
+            ),
+        ),
+        Theme(
+            "water",
+            "wr/natural=water wr/water",
+            ("polygon",),
+            (
+                TypedColumn("water"),
+                TypedColumn("natural"),
+                TypedColumn("name"),
+                TypedColumn("intermittent"),
+                TypedColumn("salt"),
+            ),
+        ),
+        Theme(
+            "landuse",
+            "wr/landuse",
+            ("polygon",),
+            (
+                TypedColumn("landuse"),
+                TypedColumn("name"),
+                TypedColumn("operator"),
+            ),
+        ),
+        Theme(
+            "natural_areas",
+            "wr/natural",
+            ("polygon",),
+            (
+                TypedColumn("natural"),
+                TypedColumn("name"),
+                TypedColumn("wetland"),
+            ),
+        ),
+        Theme(
+            "natural_features",
+            "n/natural",
+            ("point",),
+            (
+                TypedColumn("natural"),
+                TypedColumn("name"),
+                TypedColumn("ele", "ele", "double"),
+                TypedColumn("prominence", "prominence", "double"),
+            ),
+        ),
+        Theme(
+            "places",
+            "n/place",
+            ("point",),
+            (
+                TypedColumn("place"),
+                TypedColumn("name"),
+                TypedColumn("population", "population", "int"),
+                TypedColumn("admin_level", "admin_level", "int"),
+                TypedColumn("capital"),
+                TypedColumn("is_in"),
+            ),
+        ),
+        Theme(
+            "boundaries",
+            "r/boundary=administrative",
+            ("polygon",),
+            (
+                TypedColumn("boundary"),
+                TypedColumn("admin_level", "admin_level", "int"),
+                TypedColumn("name"),
+                TypedColumn("border_type"),
+                TypedColumn("iso3166_1", "ISO3166-1"),
+                TypedColumn("iso3166_2", "ISO3166-2"),
+            ),
+        ),
+        Theme(
+            "pois",
+            "n/amenity n/shop n/tourism n/leisure n/office n/healthcare",
+            ("point",),
+            (
+                TypedColumn("amenity"),
+                TypedColumn("shop"),
+                TypedColumn("tourism"),
+                TypedColumn("leisure"),
+                TypedColumn("office"),
+                TypedColumn("healthcare"),
+                TypedColumn("name"),
+                TypedColumn("brand"),
+                TypedColumn("operator"),
+                TypedColumn("website"),
+                TypedColumn("opening_hours"),
+                TypedColumn("phone"),
+                TypedColumn("cuisine"),
+            ),
+        ),
+        Theme(
+            "amenities_polygons",
+            "wr/amenity wr/shop wr/tourism wr/leisure wr/office wr/healthcare",
+            ("polygon",),
+            (
+                TypedColumn("amenity"),
+                TypedColumn("shop"),
+                TypedColumn("tourism"),
+                TypedColumn("leisure"),
+                TypedColumn("office"),
+                TypedColumn("healthcare"),
+                TypedColumn("name"),
+                TypedColumn("brand"),
+                TypedColumn("operator"),
+                TypedColumn("website"),
+                TypedColumn("opening_hours"),
+                TypedColumn("phone"),
+                TypedColumn("cuisine"),
+            ),
+        ),
+        Theme(
+            "power",
+            "nwr/power",
+            ("point", "linestring", "polygon"),
+            (
+                TypedColumn("power"),
+                TypedColumn("name"),
+                TypedColumn("voltage", "voltage", "int"),
+                TypedColumn("frequency", "frequency", "double"),
+                TypedColumn("operator"),
+                TypedColumn("cables", "cables", "int"),
+            ),
+        ),
+        Theme(
+            "aeroways",
+            "nwr/aeroway",
+            ("point", "linestring", "polygon"),
+            (
+                TypedColumn("aeroway"),
+                TypedColumn("name"),
+                TypedColumn("iata"),
+                TypedColumn("icao"),
+                TypedColumn("ref"),
+                TypedColumn("surface"),
+            ),
+        ),
+        Theme(
+            "barriers",
+            "nw/barrier",
+            ("point", "linestring"),
+            (
+                TypedColumn("barrier"),
+                TypedColumn("name"),
+                TypedColumn("access"),
+                TypedColumn("height", "height", "double"),
+                TypedColumn("material"),
+            ),
+        ),
+        Theme(
+            "public_transport",
+            "n/public_transport n/highway=bus_stop n/railway=station,halt,tram_stop,subway_entrance",
+            ("point",),
+            (
+                TypedColumn("public_transport"),
+                TypedColumn("highway"),
+                TypedColumn("railway"),
+                TypedColumn("name"),
+                TypedColumn("ref"),
+                TypedColumn("operator"),
+                TypedColumn("network"),
+                TypedColumn("bench"),
+                TypedColumn("shelter"),
+            ),
+        ),
+    )
+}
 
 #: Predicates over the tag map that a theme's features must also meet.
 POST_FILTERS = {"natural_areas": lambda tags: F.coalesce(tags["natural"], F.lit("")) != "water"}
