@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Word separators of every operator: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -69,7 +69,12 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
-def n_words(text: str):
+def bare(text: str | Column) -> Column:
+    """A text without separators at its ends."""
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+
+
+def n_words(text: str) -> Column:
     """Runs of characters other than separators; a null text has none."""
-    bare = F.expr(f"trim(BOTH ' \\t\\n\\u000B\\f\\r' FROM `{text}`)")
-    return F.when(F.coalesce(bare, F.lit("")) == "", F.lit(0)).otherwise(F.size(F.split(bare, f"[{SEPARATORS}]+"))).cast("long")
+    t = bare(text)
+    return F.when(F.coalesce(t, F.lit("")) == "", F.lit(0)).otherwise(F.size(F.split(t, f"[{SEPARATORS}]+"))).cast("long")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrella.llm.common import SEPARATORS, n_words, release, staged
+from terrella.llm.common import SEPARATORS, bare, n_words, release, staged
 
 WEIGHTS, TOTAL, MOST, BLOCK = (5, 2, 1), 1.5, 2, 1024
 
@@ -153,7 +153,7 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     rounds = _mixed(placed, key, block, ("__extra_row",)).groupBy("__name", "start", "epoch", key, "__extra_row").agg(F.min("from_word").alias("__from"), F.sum("n_words").alias("__n"))
     texts = df.withColumn("__extra_row", row).dropDuplicates(["__extra_row"])
     got = texts.join(rounds.select("__extra_row", "__from", "__n"), "__extra_row")
-    words = F.split(F.expr(f"trim(BOTH ' \\t\\n\\u000B\\f\\r' FROM `{text}`)"), f"[{SEPARATORS}]+")
+    words = F.split(bare(text), f"[{SEPARATORS}]+")
     whole = F.col("__n") == n_words(text)
     got = got.withColumn("__text", F.when(whole, F.col(text)).otherwise(F.array_join(F.slice(words, (F.col("__from") + 1).cast("int"), F.col("__n").cast("int")), " ")))
     fresh = {text: F.col("__text")} | ({length: F.length("__text").cast("long")} if length in df.columns else {})

@@ -16,13 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrella.llm.common import SEPARATORS, small, staged
+from terrella.llm.common import SEPARATORS, bare, small, staged
 
 SHARE, LEAST, LEFT = 0.2, 10, 0.2
 
-#: The same separators, as a trim list.
-_ENDS = "' \\t\\n\\u000B\\f\\r'"
-
 
 def let(value: Column, use) -> Column:
     """use(value) with value worked out once: a plain reference inside a lambda is worked out for each element."""
@@ -89,8 +86,8 @@ def assess(df: DataFrame, out: str = "quality", text: str = "text", host: str =
     frequent = boilerplate(df, text, host, share, least)
     own = [c for c in df.columns if c != out]
     d = df.select(*own, F.coalesce(F.col(text), F.lit("")).alias("__t"), _host(host).alias("__host")).join(small(frequent), "__host", "left")
-    bare = F.expr(f"trim(BOTH {_ENDS} FROM __t)")
-    d = d.withColumn("__words", F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"[{SEPARATORS}]+")))
+    t = bare("__t")
+    d = d.withColumn("__words", F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, f"[{SEPARATORS}]+")))
     d = d.withColumn("__windows", _windows(F.col("__words"))).withColumn("__lined", _lines("__t"))
     removed = F.when(
         F.col("__lines").isNotNull(),
