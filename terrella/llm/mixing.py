@@ -7,15 +7,15 @@ shares of [0, 1), the slots of each source are ranked, and the slot of rank r ta
 has all its blocks, later slots of it are void; blocks whose slot didn't come up in the run of points stand
 at the end, by rank.
 
-Nothing gathers a source in one task: streams are laid out by sums over hash buckets, slots are ranked by
-sums over chunks of points, and the points meet the shares in narrow bins.
+Nothing gathers a source in one task: streams are laid out by sums over hash buckets, and those by sums over
+groups of buckets, slots are ranked by sums over chunks of points, and the points meet the shares in narrow bins.
 
 Targets: sources in code point order, null last, weigh 5, 2, 1, 5, ... and share 150 % of all words; a target
 stops at twice its source's size and the excess is shared anew by weight.
 
 Rules for odd rows: a null or empty text has size 0 and nothing is taken of it; a null source is a source;
 repeated rows each take their own place in the stream; an empty table gives no rows. Only the named columns
-are read.
+are read; mixed_documents() reads all, and tells rows apart by 128 bits of hashes of them.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ from terrella.llm.common import SEPARATORS, bare, n_words, release, staged
 
 WEIGHTS, TOTAL, MOST, BLOCK = (5, 2, 1), 1.5, 2, 1024
 
-#: Documents of a hash bucket and points of a chunk that one window sees, about; bins of [0, 1).
-BUCKET, CHUNK, BINS = 4096, 16384, 4096
+#: Documents of a hash bucket and points of a chunk that one window sees, about; hexadecimal digits by which
+#: buckets are grouped; bins of [0, 1).
+BUCKET, CHUNK, DIGITS, BINS = 512, 16384, 3, 4096
 
 GOLDEN = 0.6180339887498949
 
@@ -62,19 +63,31 @@ def targets(sizes: DataFrame) -> DataFrame:
     return out.select("__name", "source_size", "target") if words else weighed.select("__name", "source_size", F.lit(0.0).alias("target"))
 
 
-def layout(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", extra: tuple[Column, ...] = ()) -> DataFrame:
+def _bases(sums: DataFrame, digits: int) -> DataFrame:
+    """sums: (__name, __bucket, __sum), buckets of so many digits. (__name, __bucket, __base): the sum of all buckets before."""
+    if digits <= DIGITS:
+        upto = Window.partitionBy("__name").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+        return sums.withColumn("__base", F.coalesce(F.sum("__sum").over(upto), F.lit(0))).drop("__sum")
+    grouped = sums.withColumn("__group", F.substring("__bucket", 1, digits - DIGITS))
+    upto = Window.partitionBy("__name", "__group").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    within = grouped.withColumn("__in", F.coalesce(F.sum("__sum").over(upto), F.lit(0)))
+    groups = staged(grouped.groupBy("__name", F.col("__group").alias("__bucket")).agg(F.sum("__sum").alias("__sum")))
+    before = _bases(groups, digits - DIGITS).withColumnRenamed("__bucket", "__group")
+    return within.join(before, ["__name", "__group"]).select("__name", "__bucket", (F.col("__base") + F.col("__in")).alias("__base"))
+
+
+def layout(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", extra: tuple[Column, ...] = (), bucket: int = BUCKET) -> DataFrame:
     """A row for each document: __name, size, its start in its source's stream, source_size, target. A staged table."""
     rows = df.select(F.col(key), _name(source).alias("__name"), n_words(text).alias("size"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("__order"), *extra)
     rows = staged(rows)
     digits = 0
     n = rows.count()
-    while n > BUCKET * 16**digits:
+    while n > bucket * 16**digits:
         digits += 1
     rows = rows.withColumn("__bucket", F.substring("__order", 1, digits) if digits else F.lit(""))
     sums = rows.groupBy("__name", "__bucket").agg(F.sum("size").alias("__sum"))
     sums = staged(sums)
-    upto = Window.partitionBy("__name").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(upto), F.lit(0))).drop("__sum")
+    starts = _bases(sums, digits)
     wide = targets(sums.groupBy("__name").agg(F.sum("__sum").alias("source_size")))
     own = [F.col(c) for c in rows.columns if c.startswith("__extra")]
     within = Window.partitionBy("__name", "__bucket").orderBy("__order", key, "size", *own).rowsBetween(Window.unboundedPreceding, -1)
@@ -134,27 +147,35 @@ def _mixed(placed: DataFrame, key: str, block: int, extra: tuple[str, ...] = ())
 
 
 def taken(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK) -> DataFrame:
-    """Rows (key, size, source_size, target, taken): what the mix takes of each document."""
+    """Rows (key, size, source_size, target, taken, n_blocks, first_slot): what the mix takes of each document, and where.
+
+    n_blocks counts the blocks that hold words of the document; first_slot is the least slot of these, null without any.
+    """
     placed = layout(df, key, text, source)
-    sums = _mixed(placed, key, block).groupBy("__name", "start").agg(F.sum("n_words").alias("taken"))
+    found = _mixed(placed, key, block).groupBy("__name", "start").agg(F.sum("n_words").alias("taken"), F.count_distinct("rank").alias("n_blocks"), F.min("slot").alias("first_slot"))
     # Documents without words share their start with the next one, which has all that is taken there.
-    out = placed.withColumn("__at", F.when(F.col("size") > 0, F.col("start"))).join(sums.withColumnRenamed("start", "__at"), ["__name", "__at"], "left")
-    return out.select(key, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    out = placed.withColumn("__at", F.when(F.col("size") > 0, F.col("start"))).join(found.withColumnRenamed("start", "__at"), ["__name", "__at"], "left")
+    return out.select(key, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("n_blocks", F.lit(0)).cast("long").alias("n_blocks"), "first_slot")
 
 
 def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, length: str | None = "n_chars") -> DataFrame:
     """The documents of the mix, with df's columns: one row for each round in which the mix takes a document.
 
-    A document of which a round takes all keeps its text; where a source's target ends inside a document, that
-    round's row has the words taken, joined by spaces.
+    Rows stand in the order of the slot in which the round of the document begins. A document of which a round
+    takes all keeps its text; where a source's target ends inside a document, that round's row has the words
+    taken, joined by spaces.
     """
-    row = F.xxhash64(*[F.col(c) for c in df.columns])
-    placed = layout(df, key, text, source, extra=(row.alias("__extra_row"),))
-    rounds = _mixed(placed, key, block, ("__extra_row",)).groupBy("__name", "start", "epoch", key, "__extra_row").agg(F.min("from_word").alias("__from"), F.sum("n_words").alias("__n"))
-    texts = df.withColumn("__extra_row", row).dropDuplicates(["__extra_row"])
-    got = texts.join(rounds.select("__extra_row", "__from", "__n"), "__extra_row")
+    row = [F.xxhash64(F.lit(k), *[F.col(c) for c in df.columns]).alias(f"__extra_{k}") for k in (1, 2)]
+    of = ("__extra_1", "__extra_2")
+    placed = layout(df, key, text, source, extra=tuple(row))
+    begins = F.min_by(F.struct("from_word", "slot"), "rank").alias("__x")
+    rounds = _mixed(placed, key, block, of).groupBy("__name", "start", "epoch", key, *of).agg(begins, F.sum("n_words").alias("__n"))
+    rounds = rounds.select(*of, "epoch", "start", F.col("__x.from_word").alias("__from"), F.col("__x.slot").alias("__slot"), "__n").withColumnsRenamed({"epoch": "__epoch", "start": "__start"})
+    got = df.select("*", *row).dropDuplicates(of).join(rounds, list(of))
     words = F.split(bare(text), f"[{SEPARATORS}]+")
     whole = F.col("__n") == n_words(text)
     got = got.withColumn("__text", F.when(whole, F.col(text)).otherwise(F.array_join(F.slice(words, (F.col("__from") + 1).cast("int"), F.col("__n").cast("int")), " ")))
+    place = ["__slot", "__epoch", "__start"]
+    got = got.repartitionByRange(*place).sortWithinPartitions(*place)
     fresh = {text: F.col("__text")} | ({length: F.length("__text").cast("long")} if length in df.columns else {})
     return got.select(*[fresh.get(c, F.col(c)).alias(c) for c in df.columns])

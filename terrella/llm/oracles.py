@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from terrella.llm import quality
+from terrella.llm.mixing import BLOCK, GOLDEN
 from terrella.llm.secrets import RULES
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -69,14 +70,25 @@ NEAR_DUPLICATES = f"""WITH RECURSIVE docs AS (SELECT doc_id AS d, regexp_extract
  least AS (SELECT d, min(r) AS c FROM reach GROUP BY d)
  SELECT least.d AS doc_id, n AS n_shingles, c AS component_id, least.d = c AS kept FROM least JOIN size ON least.d = size.d"""
 
-MIX = f"""WITH docs AS (SELECT doc_id AS d, source AS s, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS n, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
+MIX = f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id AS d, source AS s, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS n, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
  sizes AS (SELECT s, CAST(sum(n) AS BIGINT) AS n FROM docs GROUP BY s),
  weighed AS (SELECT s, n, CASE (row_number() OVER (ORDER BY s NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w FROM sizes),
  levels AS (SELECT s, n, w, 2.0::DOUBLE * n / w AS full_at, row_number() OVER (ORDER BY 2.0::DOUBLE * n / w, s) AS k,
   (1.5::DOUBLE * sum(n) OVER () - coalesce(sum(2.0::DOUBLE * n) OVER (ORDER BY 2.0::DOUBLE * n / w, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(w) OVER (ORDER BY 2.0::DOUBLE * n / w, s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
  chosen AS (SELECT level FROM levels WHERE full_at >= level ORDER BY k LIMIT 1),
- targets AS (SELECT s, n, least(2.0::DOUBLE * n, chosen.level * w) AS target FROM levels, chosen),
- placed AS (SELECT d, docs.n, t.n AS whole, target, CAST(floor(target) AS BIGINT) AS goal, CAST(coalesce(sum(docs.n) OVER (PARTITION BY docs.s ORDER BY o, d, docs.n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
-  FROM docs JOIN targets t ON docs.s IS NOT DISTINCT FROM t.s)
- SELECT d AS doc_id, n AS size, whole AS source_size, target, CASE WHEN whole = 0 THEN 0 ELSE (goal // whole) * n + greatest(0, least(n, goal % whole - pos)) END AS taken FROM placed"""
+ targets AS (SELECT s, n, least(2.0::DOUBLE * n, chosen.level * w) AS target, CAST(floor(least(2.0::DOUBLE * n, chosen.level * w)) AS BIGINT) AS goal FROM levels, chosen),
+ placed AS (SELECT r, d, docs.s, docs.n, t.n AS whole, target, goal, CAST(coalesce(sum(docs.n) OVER (PARTITION BY docs.s ORDER BY o, d, docs.n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
+  FROM docs JOIN targets t ON docs.s IS NOT DISTINCT FROM t.s),
+ needs AS (SELECT s, (goal + {BLOCK} - 1) // {BLOCK} AS need FROM targets WHERE goal > 0),
+ shares AS (SELECT s, need, total, (upto - need) / CAST(total AS DOUBLE) AS low, upto / CAST(total AS DOUBLE) AS high
+  FROM (SELECT s, need, CAST(sum(need) OVER () AS BIGINT) AS total, CAST(sum(need) OVER (ORDER BY s NULLS LAST) AS BIGINT) AS upto FROM needs)),
+ points AS (SELECT slot, (slot * {GOLDEN!r}::DOUBLE) % 1.0::DOUBLE AS u FROM (SELECT unnest(range(total + total // 50 + 64)) AS slot FROM (SELECT max(total) AS total FROM shares))),
+ dealt AS (SELECT s, need, slot, row_number() OVER (PARTITION BY s ORDER BY slot) - 1 AS rank FROM points JOIN shares ON u >= low AND u < high),
+ late AS (SELECT s, total, unnest(range(coalesce(got, 0), need)) AS rank FROM shares LEFT JOIN (SELECT s AS s2, count(*) AS got FROM dealt GROUP BY s) ON s IS NOT DISTINCT FROM s2),
+ slots AS (SELECT s, rank, slot FROM dealt WHERE rank < need UNION ALL SELECT s, rank, CAST(trunc(total * 1.1::DOUBLE + 64 + rank) AS BIGINT) FROM late),
+ rounds AS (SELECT r, s, unnest([[pos, least(pos + n, goal)], [whole + pos, least(whole + pos + n, goal)]]) AS x FROM placed WHERE n > 0),
+ cut AS (SELECT r, s, unnest(range(x[1] // {BLOCK}, (x[2] - 1) // {BLOCK} + 1)) AS rank FROM rounds WHERE x[2] > x[1]),
+ held AS (SELECT r, count(DISTINCT cut.rank) AS n_blocks, min(slot) AS first_slot FROM cut JOIN slots ON cut.s IS NOT DISTINCT FROM slots.s AND cut.rank = slots.rank GROUP BY r)
+ SELECT d AS doc_id, n AS size, whole AS source_size, target, CASE WHEN whole = 0 THEN 0 ELSE (goal // whole) * n + greatest(0, least(n, goal % whole - pos)) END AS taken,
+  coalesce(n_blocks, 0) AS n_blocks, first_slot FROM placed LEFT JOIN held ON placed.r = held.r"""

@@ -1,6 +1,7 @@
 """The mix and the pipeline."""
 
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,19 @@ def test_odd_rows(spark):
     assert mixing.taken(d.filter("doc_id = 4")).first().target == 0.0
 
 
+ENDS = ["f", "f f f", "if x f", "foo bar of", "\x0cabc d", "f\x0c", "\x0b\x0cf\x0c\x0b", "fff\n\x0cfff\nf", "\x1cf", "\x85 f"]
+
+
+def test_words_are_what_the_contract_says(spark):
+    d = spark.createDataFrame([(i, t, "s") for i, t in enumerate(ENDS)], "doc_id long, text string, source string")
+    got = {r.doc_id: r["size"] for r in mixing.taken(d).collect()}
+    assert got == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in enumerate(ENDS)}
+    words = Counter(w for r in mixing.mixed_documents(d, block=3).collect() for w in re.findall(r"[^\x20\x09-\x0D]+", r.text))
+    once = Counter(w for t in ENDS for w in re.findall(r"[^\x20\x09-\x0D]+", t))
+    total = sum(once.values())
+    assert sum(words.values()) == total * 3 // 2 and all(once[w] <= words[w] <= 2 * once[w] for w in once)
+
+
 def test_mixed_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = mixing.mixed_documents(docs)
@@ -72,6 +86,38 @@ def test_mixed_documents(spark, sf):
     assert words == mixing.taken(docs).agg(F.sum("taken")).first()[0]
 
 
+def test_mixed_documents_stand_in_slot_order(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    first = defaultdict(list)
+    for r in mixing.mix(docs, block=64).select("doc_id", "epoch", "rank", "slot").collect():
+        first[r.doc_id].append((r.epoch, r.rank, r.slot))
+    slots = {i: [min(x for x in found if x[0] == e)[2] for e in sorted({x[0] for x in found})] for i, found in first.items()}
+    seen, at = Counter(), []
+    for r in mixing.mixed_documents(docs, block=64).collect():
+        at.append(sorted(slots[r.doc_id]))
+        seen[r.doc_id] += 1
+    assert all(seen[i] == len(x) for i, x in slots.items())
+    # Each row stands at one of its document's slots, and these rise.
+    low = -1
+    for x in at:
+        low = min(k for k in x if k >= low)
+
+
+def test_slots_come_from_the_points(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    real = {r.doc_id: (r.taken, r.first_slot) for r in mixing.taken(docs, block=64).collect()}
+    monkeypatch.setattr(mixing, "GOLDEN", 0.5)
+    other = {r.doc_id: (r.taken, r.first_slot) for r in mixing.taken(docs, block=64).collect()}
+    assert {i: t for i, (t, _) in real.items()} == {i: t for i, (t, _) in other.items()}
+    assert sum(real[i][1] != other[i][1] for i in real) > len(real) / 2
+
+
+def test_streams_are_laid_out_by_groups_of_buckets(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    one = {r.doc_id: r.start for r in mixing.layout(docs).collect()}
+    assert one == {r.doc_id: r.start for r in mixing.layout(docs, bucket=0.001).collect()}
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline as C
 

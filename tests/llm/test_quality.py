@@ -30,6 +30,7 @@ def values(r):
 def test_counts(spark):
     r = random.Random(3)
     texts = [None, "", "  \n ", "a", "a b c d e f g h " * 5, "x" * 50000, "é ü\n" * 3, "\x1cA\x0bB\x85C", "w " * 20000]
+    texts += ["f", "f f f", "if x f", "foo bar of", "\x0cabc d", "f\x0c", "\x0b\x0cf\x0c\x0b", "fff\n\x0cfff\nf"]
     texts += ["".join(r.choice(["a", "b", " ", "\n", "#", "|", "é", "\t"]) for _ in range(r.randrange(200))) for _ in range(150)]
     rows = [(i, t, None if i % 5 == 0 else f"s{i % 3}", i) for i, t in enumerate(texts)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string, kept long")
