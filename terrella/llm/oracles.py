@@ -19,7 +19,7 @@ def secret_scan() -> str:
     for k, r in enumerate(RULES):
         kinds.append(
             f"SELECT d, {k} AS k, unnest(range(1, len(ms) + 1)) AS i, unnest(gaps[1:len(ms)]) AS gap, unnest(ms) AS m, unnest(gs) AS g, {r.least} AS least FROM "
-            f"(SELECT d, string_split_regex(t, {_text(r.pattern)}) AS gaps, regexp_extract_all(t, {_text(r.pattern)}) AS ms, regexp_extract_all(t, {_text(r.pattern)}, {r.group}) AS gs FROM docs) WHERE len(ms) > 0"
+            f"(SELECT d, string_split_regex(t, {_text(r.plain)}) AS gaps, regexp_extract_all(t, {_text(r.plain)}) AS ms, regexp_extract_all(t, {_text(r.plain)}, {r.group}) AS gs FROM docs) WHERE len(ms) > 0"
         )
     named = "[" + ", ".join(f"'{r.kind}'" for r in RULES) + "][k + 1]"
     n_base = sum(r.base for r in RULES)

@@ -1,21 +1,24 @@
 """Secret scans behind a trigram inverted index, in DataFrame functions alone.
 
 From each rule's regular expression a Boolean query over trigrams is derived: an OR of clauses, each an AND of
-trigrams that any match must hold (in lower case). The index lists, for each block of documents and each
-trigram of any query, the documents that hold it. Intersecting a clause's postings gives its candidates, and
-the rule's expression runs over the candidates only. A rule without mandatory trigrams scans all texts.
+trigrams that any match must hold (in lower case). Of each clause the index takes the RAREST trigrams, counted on
+a sample of SAMPLE documents: fewer trigrams only let more candidates through. The index lists, for each block of
+documents and each such trigram, the documents that hold it. Intersecting a clause's postings gives its
+candidates, and the rule's expression runs over the candidates only. A rule without mandatory trigrams scans all
+texts.
 
 Positions come from the lengths of what stands between the matches (split) and of the matches themselves, in
 code points. Postings are cut into blocks of documents, so no list grows with the corpus.
 
 Rules for odd rows: a null text counts as empty and has no spans; a row with a null id is no posting, so all
 rules scan it; rows that repeat an id each get their own spans, as candidates are only a superset; an empty
-table gives no rows. Only the named columns are read, all others pass through beside one struct column.
+table gives no rows. Very long texts take time in proportion to their length. Only the named columns are read,
+all others pass through beside one struct column.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from itertools import product
 from re import _constants as C
 from re import _parser as parser
@@ -25,15 +28,19 @@ from pyspark.sql import functions as F
 
 from terrella.llm.common import SEPARATORS, small, staged
 
-#: Documents of a block, about; matches that one running sum sees.
-BLOCK, RUN = 4096, 256
+#: Documents of a block, about; matches that one running sum sees; pieces of a text that are cut out of one part.
+BLOCK, RUN, PARTS = 4096, 256, (4096, 64)
+
+#: Trigrams that the index holds for a clause; documents, about, on which their rarity is counted.
+RAREST, SAMPLE = 2, 2000
 
 
 @dataclass(frozen=True)
 class Rule:
     """least: characters that the match, or its group, has to have; shorter matches are dropped.
 
-    whole: the expression for redaction, where a secret goes on beyond what the report's pattern takes.
+    plain: the same expression without what only Java knows (possessive repeats, which keep it from recursing
+    over long secrets); the trigrams are derived from it, and other engines can run it.
     """
 
     kind: str
@@ -41,24 +48,31 @@ class Rule:
     group: int = 0
     least: int = 1
     base: bool = False
-    whole: str | None = None
+    plain: str = ""
+
+    def __post_init__(self):
+        object.__setattr__(self, "plain", self.plain or self.pattern)
+
+
+_HEADER, _END = "-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", "-----END [A-Z ]{0,32}PRIVATE KEY-----"
 
+#: What follows a private key's header: all up to its END line, or without one the base64 lines.
+_BODY = rf"(?:[^-]*+(?:-(?!----)[^-]*+)*+{_END}|(?:(?:[{SEPARATORS}]|\\[nr])*+[A-Za-z0-9+/=]{{16,}}+)*+(?:(?:\r?\n|\\n)[A-Za-z0-9+/=]++\r?(?dm:$))?+)"
+_PLAIN_BODY = rf"(?:(?:[^-]|-{{1,4}}[^-])*{_END}|(?:(?:[{SEPARATORS}]|\\[nr])*[A-Za-z0-9+/=]{{16,}})*(?:(?:\r?\n|\\n)[A-Za-z0-9+/=]+\r?(?m:$))?)"
 
-#: What follows a private key's header: all up to its END line, or without one the base64 lines. Possessive, so
-#: that Java runs through them without recursion.
-_BODY = r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,32}PRIVATE KEY-----|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+)*+(?:(?:\r?\n|\\n)[A-Za-z0-9+/=]++(?![^\r\n]))?+)"
+_NAME = f"[^/{SEPARATORS}:@]"
 
 RULES = (
     Rule("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8, True),
     Rule("access", "AKIA[A-Z0-9]+", 0, 16, True),
     Rule("hex", "[0-9a-f]{32,}", 0, 32, True),  # a run of hex digits is one match either way
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,255}", whole="gh[pousr]_[A-Za-z0-9]{36,}+"),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,255}", whole="xox[abprs]-[A-Za-z0-9-]{10,}+"),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}+", plain="gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}+", plain="xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", "AIza[A-Za-z0-9_-]{35}"),
-    Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,255}", whole="[rs]k_live_[A-Za-z0-9]{16,}+"),
-    Rule("private", "-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", whole=f"-----BEGIN [A-Z ]{{0,32}}PRIVATE KEY-----{_BODY}"),
-    Rule("bearer", r"eyJ[A-Za-z0-9_-]{8,999}\.eyJ[A-Za-z0-9_-]{8,999}\.[A-Za-z0-9_-]{0,999}", whole=r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+"),
-    Rule("login", f"[a-z]{{2,10}}://[^/{SEPARATORS}:@]{{1,64}}:[^/{SEPARATORS}:@]{{1,64}}@", whole=f"[a-z]{{2,10}}://[^/{SEPARATORS}:@]++:[^/{SEPARATORS}:@]++@"),
+    Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,}+", plain="[rs]k_live_[A-Za-z0-9]{16,}"),
+    Rule("private", _HEADER + _BODY, plain=_HEADER + _PLAIN_BODY),
+    Rule("bearer", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+", plain=r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"),
+    Rule("login", f"[a-z]{{2,10}}://{_NAME}++:{_NAME}++@", plain=f"[a-z]{{2,10}}://{_NAME}+:{_NAME}+@"),
 )
 
 #: Strings that stand for a part of an expression, and clauses, at most; beyond, the part counts as unknown.
@@ -110,22 +124,34 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return sorted(set(found), key=sorted) if len(found) == len(closed()) else None
 
 
-def _postings(df: DataFrame, trigrams: list[str], key: str, text: str, blocks: int) -> DataFrame:
+def _held(trigrams: list[str]) -> Column:
+    return F.array_compact(F.array(*[F.when(F.contains(F.col("__lower"), F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]))
+
+
+def _postings(lower: DataFrame, trigrams: list[str], blocks: int) -> DataFrame:
     """The inverted index: rows (__block, __trigram, __ids)."""
-    lower = df.select(F.col(key).alias("__id"), F.lower(F.col(text)).alias("__lower")).filter(F.col("__id").isNotNull() & F.col("__lower").isNotNull())
-    held = lower.select("__id", F.array_compact(F.array(*[F.when(F.contains(F.col("__lower"), F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)])).alias("__held"))
-    listed = held.select("__id", F.explode("__held").alias("__trigram")).withColumn("__block", F.pmod(F.xxhash64("__id"), F.lit(blocks)))
+    listed = lower.select("__id", F.explode(_held(trigrams)).alias("__trigram")).withColumn("__block", F.pmod(F.xxhash64("__id"), F.lit(blocks)))
     return listed.groupBy("__block", "__trigram").agg(F.collect_set("__id").alias("__ids"))
 
 
+def _rarest(lower: DataFrame, n: int, queries: dict[int, list[frozenset[str]] | None]) -> dict[int, list[frozenset[str]] | None]:
+    """The queries with the rarest trigrams of each clause; of equally rare ones those that other clauses have too."""
+    trigrams = sorted({t for q in queries.values() for c in q or () for t in c})
+    some = lower.filter(F.pmod(F.xxhash64("__id", F.lit(5)), F.lit(1_000_000)) < int(1_000_000 * SAMPLE / max(n, 1)) + 1)
+    counts = dict(enumerate([0] * len(trigrams))) | {r["t"]: r["count"] for r in some.select(F.explode(_held(trigrams)).alias("t")).groupBy("t").count().collect()}
+    often = {t: counts[i] for i, t in enumerate(trigrams)}
+    shared = {t: sum(t in c for q in queries.values() for c in q or ()) for t in trigrams}
+    return {i: q and [frozenset(sorted(c, key=lambda t: (often[t], -shared[t], t))[:RAREST]) for c in q] for i, q in queries.items()}
+
+
 def candidates(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, int]:
     """Rows (__id, __rules): a bit for each rule whose query the document fulfils. And the bits of rules without a query."""
-    spark = df.sparkSession
-    queries = {i: trigram_query(r.pattern) for i, r in enumerate(rules)}
+    spark, n = df.sparkSession, df.count()
+    lower = df.select(F.col(key).alias("__id"), F.lower(F.col(text)).alias("__lower")).filter(F.col("__id").isNotNull() & F.col("__lower").isNotNull())
+    queries = _rarest(lower, n, {i: trigram_query(r.plain) for i, r in enumerate(rules)})
     trigrams = sorted({t for q in queries.values() for c in q or () for t in c})
     always = sum(1 << i for i, q in queries.items() if q is None)
-    blocks = max(1, df.count() // BLOCK)
-    postings = _postings(df, trigrams, key, text, blocks)
+    postings = _postings(lower, trigrams, max(1, n // BLOCK))
     number = {t: i for i, t in enumerate(trigrams)}
     # As large as the rules, whatever the corpus.
     clauses = [(1 << i, f"{i}.{k}", len(c), number[t]) for i, q in queries.items() if q for k, c in enumerate(q) for t in c]
@@ -140,27 +166,36 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use).getItem(0)
 
 
-def _running(items: Column) -> Column:
-    """From structs (gap, length, ok): (start, end, ok). Sums run over RUN items, then over such runs."""
-    none = F.array().cast("array<struct<start:bigint,end:bigint,ok:boolean>>")
-    at0 = F.lit(0).cast("long")
+def _runs(items: Column, size: int) -> Column:
+    """A non-empty array, cut into arrays of so many."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int")), lambda r: F.slice(items, r * size + 1, F.lit(size)))
 
-    def runs(all_items):
-        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / RUN).cast("int")), lambda r: F.slice(all_items, r * RUN + 1, F.lit(RUN)))
 
-    def run_of(run, base):
-        def step(a, x):
-            start = a["at"] + x["gap"]
-            return F.struct((start + x["length"]).alias("at"), F.concat(a["found"], F.array(F.struct(start.alias("start"), (start + x["length"]).alias("end"), x["ok"].alias("ok")))).alias("found"))
+def _prefixes(items: Column, zero: Column, step, kind: str) -> Column:
+    """The state, a struct of type kind, after each item. It goes over RUN items, then over such runs, as an array that
+    grows item by item is copied each time."""
+    none = F.array().cast(f"array<{kind}>")
 
-        return F.aggregate(run, F.struct(base.alias("at"), none.alias("found")), step)
+    def run_of(run, base):
+        more = lambda a, x: _let(step(a["at"], x), lambda v: F.struct(v.alias("at"), F.concat(a["found"], F.array(v)).alias("found")))
+        return F.aggregate(run, F.struct(base.alias("at"), none.alias("found")), more)
 
     def all_runs(rs):
-        step = lambda a, r: _let(run_of(r, a["at"]), lambda x: F.struct(x["at"].alias("at"), F.concat(a["found"], F.array(x["found"])).alias("found")))
-        nested = F.array().cast("array<array<struct<start:bigint,end:bigint,ok:boolean>>>")
-        return F.flatten(F.aggregate(rs, F.struct(at0.alias("at"), nested.alias("found")), step)["found"])
+        more = lambda a, r: _let(run_of(r, a["at"]), lambda x: F.struct(x["at"].alias("at"), F.concat(a["found"], F.array(x["found"])).alias("found")))
+        return F.flatten(F.aggregate(rs, F.struct(zero.cast(kind).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("found")), more)["found"])
+
+    return F.when(F.size(items) == 0, none).otherwise(_let(_let(items, lambda x: _runs(x, RUN)), all_runs))
+
 
-    return F.when(F.size(items) == 0, none).otherwise(_let(_let(items, runs), all_runs))
+def _running(items: Column) -> Column:
+    """From structs (gap, length, ok): (start, end, ok)."""
+
+    def step(a, x):
+        start = a["end"] + x["gap"]
+        return F.struct(start.alias("start"), (start + x["length"]).alias("end"), x["ok"].alias("ok"))
+
+    zero = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(False).alias("ok"))
+    return _prefixes(items, zero, step, "struct<start:bigint,end:bigint,ok:boolean>")
 
 
 def _spans(rule: Rule, at: int, text: Column) -> Column:
@@ -209,18 +244,49 @@ def report(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
     return d.select(key, *counts, F.sha2(listed(of_base, rules), 256).alias("base_sha256"), listed(F.col("__spans"), rules).alias("spans"))
 
 
+def _merged(spans: Column) -> Column:
+    """Structs (start, end) of the runs of sorted spans that overlap."""
+
+    def step(a, s):
+        apart = s["start"] >= a["end"]
+        return F.struct(F.when(apart, s["start"]).otherwise(a["start"]).alias("start"), F.greatest(a["end"], s["end"]).alias("end"), apart.alias("apart"))
+
+    zero = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.lit(True).alias("apart"))
+    upto = _prefixes(spans, zero, step, "struct<start:bigint,end:bigint,apart:boolean>")
+    # A run's last state is the one before a span that is apart.
+    last = lambda a: F.zip_with(a, F.slice(a, 2, F.size(a)), lambda x, y: F.when(F.coalesce(y["apart"], F.lit(True)), F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+    return F.filter(_let(upto, last), lambda x: x.isNotNull())
+
+
+def _pieces(text: Column, cuts: Column, base: Column, sizes: tuple[int, ...] = PARTS) -> Column:
+    """What stands in a text, whose first character is number base, at each of the structs (start, end), in order.
+
+    Parts of many pieces are cut out first, and pieces out of these, as a cut reads its text from the start.
+    """
+    at = lambda t, x, y, b: F.substr(t, (x - b + 1).cast("int"), (y - x).cast("int"))
+    if not sizes:
+        return F.transform(cuts, lambda c: at(text, c["start"], c["end"], base))
+
+    def of_run(run):
+        start, end = F.element_at(run, 1)["start"], F.element_at(run, -1)["end"]
+        return _let(F.struct(at(text, start, end, base).alias("t"), start.alias("b")), lambda p: _pieces(p["t"], run, p["b"], sizes[1:]))
+
+    return F.flatten(F.transform(_runs(cuts, sizes[0]), of_run))
+
+
 def redacted(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]", length: str | None = "n_chars") -> DataFrame:
     """df with each secret in its text, or run of secrets that overlap, replaced by a mark."""
-    d = scan(df, tuple(replace(r, pattern=r.whole or r.pattern) for r in rules), key, text, "__spans")
+    d = scan(df, rules, key, text, "__spans")
     t = F.col(text)
 
-    def step(a, s):
-        apart = s["start"] >= a["at"]
-        more = F.concat(a["parts"], F.array(F.substr(t, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mark)))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(apart, more).otherwise(a["parts"]).alias("parts"))
+    def between(m):
+        """From merged spans: what stands before, between and after them."""
+        zero = F.lit(0).cast("long")
+        starts = F.concat(F.array(zero), F.transform(m, lambda x: x["end"]))
+        ends = F.concat(F.transform(m, lambda x: x["start"]), F.array(F.length(t).cast("long")))
+        return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-    clean = F.aggregate("__spans", start, step, lambda a: F.concat(F.array_join(a["parts"], ""), F.substr(t, (a["at"] + 1).cast("int"))))
+    clean = F.array_join(_let(_let(_merged(F.col("__spans")), between), lambda cuts: _pieces(t, cuts, F.lit(0).cast("long"))), mark)
     # A step of its own: inside a lambda, a name means the select's new column of that name before the old one.
     d = d.withColumn("__clean", F.when(F.size("__spans") > 0, clean))
     fresh = {text: F.coalesce(F.col("__clean"), t)}
