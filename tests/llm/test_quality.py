@@ -51,3 +51,14 @@ def test_boilerplate_goes_and_depleted_documents_are_rejected(spark):
     assert all(got[i].kept and got[i].words_left == 40 and got[i].text == body(i) for i in range(30))
     assert not got[99].kept and not got[99].base_failed and got[99].words_left == 0
     assert got[98].kept and got[97].kept and all(got[200 + i].kept for i in range(30))
+
+
+def test_lines_of_a_large_host_go(spark):
+    """A line in one of twelve texts of a host of 1,200, next to prose that no text shares."""
+    line = "Terms of use apply to all of this"
+    rows = [(i, "\n".join([*(" ".join(f"w{i}x{j}y{k}" for k in range(12)) for j in range(3)), *([line] if i % 12 == 0 else [])]), "hot") for i in range(1200)]
+    rows += [(5000, "\n".join([line] * 4), "hot"), (5001, "\n".join([line] * 4), "small")]
+    got = {r.doc_id: r.quality for r in quality.assess(spark.createDataFrame(rows, "doc_id long, text string, source string"), keep_text=True).collect()}
+    assert all(got[i].kept and got[i].words_left == 36 and line not in got[i].text for i in range(1200))
+    assert not got[5000].kept and got[5000].words_left == 0
+    assert got[5001].words_left == got[5001].n_words
