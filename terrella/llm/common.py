@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 #: Word separators of every operator: space, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = "\\x20\\x09-\\x0D"
 
-#: A table is broadcast only if its counted rows, and the bytes of its files if it is staged, are at most so many.
-BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 64_000_000
+#: A table is broadcast only if its counted rows, and the bytes that these take in memory, are at most so many.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 32_000_000
+
+#: Bytes in memory for a byte of a staged file, about; types whose values all take the same room.
+EXPANSION, _FIXED = 4, ("boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,12 +64,25 @@ def release(*frames: DataFrame) -> None:
             at[0].delete(at[1], True)
 
 
+def _in_memory(df: DataFrame, rows: int) -> float:
+    """Bytes that a broadcast of df takes, about; no bound for columns of any length of a table that isn't staged."""
+    fixed = rows * (24 + 16 * len(df.columns))
+    if all(f.dataType.typeName() in _FIXED for f in df.schema.fields):
+        return fixed
+    at = _folder(df)
+    return fixed + EXPANSION * at[0].getContentSummary(at[1]).getLength() if at else float("inf")
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark a staged table for broadcast if it is small; else leave the join to shuffle."""
+    """Mark a table for broadcast if it is small, as counted now; else leave the join to shuffle."""
     n = df.count() if rows is None else rows
-    at = _folder(df)
-    size = at[0].getContentSummary(at[1]).getLength() if at else 0
-    return F.broadcast(df) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
+    return F.broadcast(df) if n <= BROADCAST_ROWS and _in_memory(df, n) <= BROADCAST_BYTES else df
+
+
+def identity(*columns: str | Column) -> Column:
+    """128 bits that tell rows with other values in these columns apart."""
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in (F.col(c) if isinstance(c, str) else c for c in columns)]
+    return F.unhex(F.md5(F.concat(*parts)))
 
 
 def bare(text: str | Column) -> Column:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrella.llm.common import small, staged
+from terrella.llm.common import identity, small, staged
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT, SHARE, LEAST = 80, 0.9, 3
@@ -150,12 +150,12 @@ def _found(df: DataFrame, key: str, text: str) -> DataFrame:
 
     whole = F.coalesce(F.col(text), F.lit(""))
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(_row(key, text).alias("row"), F.xxhash64(whole).alias("copy"), F.col(key), whole.alias("__text"))
-    return staged(rows.mapInArrow(run, f"row long, copy long, {key} {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, held array<struct<entity:string,around:string,kind:string>>, near array<struct<entity:string,term:string>>"))
+    rows = df.select(_row(key, text).alias("row"), identity(whole).alias("copy"), F.col(key), whole.alias("__text"))
+    return staged(rows.mapInArrow(run, f"row binary, copy binary, {key} {kind}, n_email long, n_ip long, n_card long, n_phone long, base string, held array<struct<entity:string,around:string,kind:string>>, near array<struct<entity:string,term:string>>"))
 
 
 def _row(key: str, text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
+    return identity(F.col(key), F.coalesce(F.col(text), F.lit("")))
 
 
 def _judged(found: DataFrame, least: int) -> DataFrame:
@@ -188,12 +188,12 @@ def _places(df: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
                         if slots[zlib.crc32(w.encode()) % SLOTS]:
                             for c, x in zip(out, (row, copy, w, [{"start": a, "end": b} for a, b in at] if spans else [])):
                                 c.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.string(), place))], ["row", "copy", "term", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.binary(), pa.binary(), pa.string(), place))], ["row", "copy", "term", "at"])
 
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = df.select(_row(key, text).alias("row"), F.xxhash64(whole).alias("copy"), whole.alias("__text"))
+    rows = df.select(_row(key, text).alias("row"), identity(whole).alias("copy"), whole.alias("__text"))
     # Words that share a slot with a term go here.
-    return staged(rows.mapInArrow(run, "row long, copy long, term string, at array<struct<start:bigint,end:bigint>>").join(small(terms), "term", "left_semi").select("row", "copy", "term", "at"))
+    return staged(rows.mapInArrow(run, "row binary, copy binary, term string, at array<struct<start:bigint,end:bigint>>").join(small(terms), "term", "left_semi").select("row", "copy", "term", "at"))
 
 
 def _disclosing(df: DataFrame, found: DataFrame, judged: DataFrame, key: str, text: str, share: float, least: int) -> tuple[DataFrame, DataFrame] | None:

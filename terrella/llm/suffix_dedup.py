@@ -16,12 +16,14 @@ stably, by the symbol before them: after round d suffixes stand in order of thei
 suffix is sorted again by itself. A round also marks where neighbours begin to differ, which is their common
 prefix. After LENGTH / STRIDE rounds the intervals without a mark are the repeated strings.
 
-Anchors with more than HOT different stretches go another exact way: their strings are hashed one by one and
-counted over all tasks, first by aligned cores, so no task gathers such an anchor.
+Anchors with more than HOT different stretches go another way with the same result: their strings are hashed one
+by one, to 128 bits, and counted over all tasks, first by aligned cores, so no task gathers such an anchor.
+Stretches, strings and rows are told apart by 128 bits everywhere, core hashes only let more through.
 
 Rules for odd rows: a null text counts as empty; a text shorter than LENGTH keeps all; rows that repeat are
-copies of each other and both lose what they share; an empty table gives no rows. Only the two named columns
-are read.
+copies of each other and both lose what they share; an empty table gives no rows. A text may be as long as a
+string in Spark can be; a task holds it, and some 60 bytes for each of its bytes, at a time. Only the two named
+columns are read.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrella.llm.common import release, small, staged
+from terrella.llm.common import identity, release, small, staged
 from terrella.llm.near_dedup import _bounds, _groups
 from terrella.llm.shingles import mix, slices
 
@@ -48,7 +50,8 @@ HOT, MERGE, SHARD = 1000, 600_000, 100_000
 CORE, HOT_CORE = 64, 16
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_PLACE = np.uint64((1 << 28) - 1)
+#: Of equal hashes the leftmost is the least: their place, below any text's length in bytes, takes the low bits.
+_PLACE = np.uint64((1 << 32) - 1)
 
 
 class _Prefix:
@@ -112,6 +115,14 @@ def _radix(x: np.ndarray) -> np.ndarray:
     return low[np.argsort((x >> 16).astype(np.uint16)[low], kind="stable")] if len(x) and x.max() > 0xFFFF else low
 
 
+def _numbered(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """A number for each different pair, in an order of the pairs."""
+    _, first, number = np.unique(one, return_index=True, return_inverse=True)
+    if (two == two[first[number]]).all():
+        return number
+    return np.unique(np.stack((one, two), axis=1), axis=0, return_inverse=True)[1].ravel()
+
+
 def _shard_order(symbol: np.ndarray, after: np.ndarray) -> np.ndarray:
     """The suffixes of one shard in order: by symbols; last ones (symbol 0) by place."""
     n = len(symbol)
@@ -142,7 +153,7 @@ def repeated_starts(segments: list[bytes], weights: np.ndarray, length: int = LE
     whole = place + stride < ends[of]
     symbol = np.zeros(n, np.int64)
     grams = _Prefix(data, _BASES[0])(place[whole], place[whole] + stride)
-    symbol[whole] = np.unique(grams, return_inverse=True)[1] + 1
+    symbol[whole] = _numbered(grams, _Prefix(data, _BASES[1])(place[whole], place[whole] + stride)) + 1
     after = np.where(whole, place + stride, -1)
     before = np.where(place - stride >= ends[of] - sizes[of], symbol[np.maximum(place - stride, 0)], 0)
     # Whole segments to shards of about equal size.
@@ -192,10 +203,9 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             for first, n, data, offsets in slices(batch, 1):
                 row, a, b, place, anchor, one, two = stretches(data, offsets, length, gram)
-                ids = batch.column(0).slice(first, n).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(place, pa.int32()), *[pa.array(x.view(np.int64)) for x in (anchor, one, two)]], ["row", "a", "b", "p", "anchor", "one", "two"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n).take(pa.array(row)), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(place, pa.int32()), *[pa.array(x.view(np.int64)) for x in (anchor, one, two)]], ["row", "a", "b", "p", "anchor", "one", "two"])
 
-    return docs.mapInArrow(run, "row long, a int, b int, p int, anchor long, one long, two long")
+    return docs.mapInArrow(run, "row binary, a int, b int, p int, anchor long, one long, two long")
 
 
 def _cores(docs: DataFrame, wanted: DataFrame, length: int, core: int) -> DataFrame:
@@ -284,7 +294,7 @@ def _hashed(length: int, core: int):
             for i in range(batch.num_rows):
                 anchor, first, second, weight, place, base = (batch.column(k)[i].as_py() for k in range(6))
                 data = np.frombuffer(batch.column(6)[i].as_buffer(), np.uint8)
-                one = _Prefix(data, _BASES[0])
+                one, two = _Prefix(data, _BASES[0]), _Prefix(data, _BASES[1])
                 starts = np.arange(len(data) - length + 1)
                 of = (place - starts) // core
                 lo = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
@@ -292,12 +302,15 @@ def _hashed(length: int, core: int):
                 c = of[lo]
                 salt = mix(c.astype(np.uint64) + np.uint64(anchor & (2**64 - 1)))
                 shared = mix(one(place - c * core, place - (c + 1) * core + 1 + length) + salt)
-                whole = mix(one(lo, hi + length) + mix(salt + ((place - lo) * 4096 + hi - lo).astype(np.uint64)))
-                strings = mix(one(starts, starts + length) + mix((place - starts).astype(np.uint64) + np.uint64(anchor & (2**64 - 1))))
+                at_run = mix(salt + ((place - lo) * 4096 + hi - lo).astype(np.uint64))
+                at_start = mix((place - starts).astype(np.uint64) + np.uint64(anchor & (2**64 - 1)))
+                whole = [pa.array(mix(h(lo, hi + length) + at_run).view(np.int64)) for h in (one, two)]
+                bounds = pa.array(np.concatenate((lo, [len(starts)])), pa.int32())
+                strings = [pa.ListArray.from_arrays(bounds, pa.array(mix(h(starts, starts + length) + at_start).view(np.int64))) for h in (one, two)]
                 same = lambda x: pa.array(np.full(len(lo), x, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [same(first), same(second), same(weight), pa.array(lo + base), pa.array(hi + base), pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64)), pa.ListArray.from_arrays(pa.array(np.concatenate((lo, [len(starts)])), pa.int32()), pa.array(strings.view(np.int64)))],
-                    ["one", "two", "n", "lo", "hi", "core", "whole", "strings"],
+                    [same(first), same(second), same(weight), pa.array(lo + base), pa.array(hi + base), pa.array(shared.view(np.int64)), *whole, *strings],
+                    ["one", "two", "n", "lo", "hi", "core", "whole1", "whole2", "strings1", "strings2"],
                 )
 
     return run
@@ -305,16 +318,19 @@ def _hashed(length: int, core: int):
 
 def _hot(segments: DataFrame, length: int, core: int) -> DataFrame:
     """Runs of repeated starts (one, two, lo, hi) of anchors with very many stretches, by counts alone."""
-    rows = staged(segments.mapInArrow(_hashed(length, core), "one long, two long, n long, lo long, hi long, core long, whole long, strings array<long>"))
-    cores = rows.groupBy("core").agg(F.sum("n").alias("m"), (F.min("whole") != F.max("whole")).alias("mixed")).filter("m > 1")
+    whole, string = ["whole1", "whole2"], ["string1", "string2"]
+    rows = staged(segments.mapInArrow(_hashed(length, core), "one long, two long, n long, lo long, hi long, core long, whole1 long, whole2 long, strings1 array<long>, strings2 array<long>"))
+    differ = (F.min("whole1") != F.max("whole1")) | (F.min("whole2") != F.max("whole2"))
+    cores = rows.groupBy("core").agg(F.sum("n").alias("m"), differ.alias("mixed")).filter("m > 1")
     again = staged(rows.join(small(staged(cores)).select("core", "mixed"), "core"))
-    alike = staged(again.filter("mixed").groupBy("whole").agg(F.sum("n").alias("w")))
-    parted = again.join(small(alike), "whole", "left")
+    alike = staged(again.filter("mixed").groupBy(*whole).agg(F.sum("n").alias("w")))
+    parted = again.join(small(alike), whole, "left")
     runs = parted.filter("not mixed or w > 1").select("one", "two", "lo", "hi")
     # What is left of a run is taken string by string; strings in runs that repeat count too.
-    each = again.filter("mixed").select("one", "two", "n", "lo", "whole", F.posexplode("strings").alias("k", "string"))
-    counted = staged(each.groupBy("string").agg(F.sum("n").alias("w")).filter("w > 1"))
-    single = each.join(small(counted).select("string"), "string").select("one", "two", (F.col("lo") + F.col("k")).alias("lo"), (F.col("lo") + F.col("k")).alias("hi"))
+    each = again.filter("mixed").select("one", "two", "n", "lo", F.posexplode(F.arrays_zip("strings1", "strings2")).alias("k", "s"))
+    each = each.select("one", "two", "n", (F.col("lo") + F.col("k")).alias("lo"), F.col("s.strings1").alias("string1"), F.col("s.strings2").alias("string2"))
+    counted = staged(each.groupBy(*string).agg(F.sum("n").alias("w")).filter("w > 1"))
+    single = each.join(small(counted).select(*string), string).select("one", "two", "lo", F.col("lo").alias("hi"))
     return runs.union(single)
 
 
@@ -374,7 +390,7 @@ def _removed(length: int, key: str, with_text: bool):
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, stride: int = STRIDE, with_text: bool = False) -> DataFrame:
     """Rows (key, n_bytes, n_removed, n_spans, kept_sha256), and with_text the kept bytes."""
-    docs = df.select(F.col(key).alias("__key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", F.xxhash64(F.coalesce(F.col("__key").cast("string"), F.lit("")), F.col("text")))
+    docs = df.select(F.col(key).alias("__key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", identity("__key", "text"))
     found = repeats(docs.select("row", "text"), length, gram, stride)
     lists = staged(found.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("list")))
     kind = df.schema[key].dataType.simpleString()
