@@ -9,14 +9,17 @@ the two aren't yet in one component.
 
 No pair of all members is written out: a bucket or cluster gives the links that join its components. Buckets
 over BUCKET members skip the sketch and join all of them to one cluster. Clusters over CLUSTER members are cut
-into parts that are compared inside, and with a few leaders; then each document outside the main component
-goes to all parts. So every pair of documents of different components has been compared in the end.
+into parts that are compared inside, and with a few leaders. What is then outside of a cluster's main component
+is cut into blocks, and each block meets each block of the cluster: by sketches first, and of those documents
+that have a partner there the sets. So every pair of documents of different components has been compared in the
+end, and no task holds more than two blocks.
 
 A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^36 = 6e-7.
 
 Rules for odd rows: a null or empty text has an empty set and is linked with nothing; rows that repeat an id
-count as the one document; a row with a null id is its own component, named null. Only the two columns named
-are read. An empty table gives no rows.
+count as the one document, whose sketch is the least of theirs if their texts differ; a row with a null id is its
+own component, named null. A very long text is handled alone. Only the two columns named are read. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from terrella.llm.common import release, small, staged
 from terrella.llm.shingles import mix, shingle_sets, slices
 
 BANDS, ROWS, BITS = 36, 5, 512
-BUCKET, CLUSTER, LEADERS = 512, 256, 8
+BUCKET, CLUSTER, LEADERS, BLOCKED = 512, 256, 8, 1024
 
 _RANDOM = np.random.default_rng(20240229)
 _MULTIPLY = _RANDOM.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -199,6 +202,28 @@ def _set_links(per_cent: int, limit: int):
     return run
 
 
+def _partnered(per_cent: int, limit: int):
+    """From rows (cluster, part, doc, known, sketch, n) sorted by part: those that the sketches let pair with another component's."""
+
+    def run(batches):
+        for table in _groups(batches, 2):
+            known, size = table.column(3).to_numpy(), table.column(5).to_numpy()
+            sketches = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint64).reshape(len(known), -1)
+            paired = np.zeros(len(known), bool)
+            for x, y in _bounds(table, 2):
+                if (known[x:y] == known[x]).all():
+                    continue
+                for i in range(x, y - 1):
+                    j = i + 1 + np.flatnonzero(known[i + 1 : y] != known[i])
+                    j = j[100 * np.minimum(size[j], size[i]) >= per_cent * np.maximum(size[j], size[i])]
+                    j = j[np.bitwise_count(sketches[i] ^ sketches[j]).sum(axis=1) <= limit]
+                    paired[j] = True
+                    paired[i] |= len(j) > 0
+            yield from table.filter(pa.array(paired)).select(range(5)).to_batches()
+
+    return run
+
+
 def _with_sets(df: DataFrame, key: str, text: str, wanted: DataFrame, width: int) -> DataFrame:
     """wanted: (doc, ...). Adds the sorted shingles of each document."""
     names = [c for c in wanted.columns if c != "doc"]
@@ -242,19 +267,21 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", per_
     members = staged(reps.select("doc", F.explode("bands").alias("bucket")).distinct().join(small(buckets).select("bucket", "m", "low"), "bucket"))
     large = members.filter(F.col("m") > BUCKET).select(F.col("low").alias("a"), F.col("doc").alias("b"))
     in_buckets = members.filter(F.col("m") <= BUCKET).select("bucket", "doc")
-    sketched = staged(reps.select("doc", "sketch").join(small(staged(members.select("doc").distinct())), "doc").dropDuplicates(["doc"]))
+    first_of = F.min(F.struct("sketch", "n_shingles")).alias("x")
+    sketched = reps.join(small(staged(members.select("doc").distinct())), "doc").groupBy("doc").agg(first_of)
+    sketched = staged(sketched.select("doc", "x.sketch", F.col("x.n_shingles").alias("n")))
     n_sketched = sketched.count()
     sorted_rows = in_buckets.join(small(sketched, n_sketched), "doc").select("bucket", "doc", "sketch").repartition("bucket").sortWithinPartitions("bucket", "doc")
     near = sorted_rows.mapInArrow(_sketch_links(limit), "a long, b long").union(large)
     clusters = components(near)
     sizes = staged(clusters.groupBy("component").agg(F.count("*").alias("m")))
     parted = clusters.join(small(sizes), "component").withColumn("parts", F.ceil(F.col("m") / CLUSTER))
-    parted = parted.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).join(small(sketched, n_sketched).select(F.col("doc").alias("node"), "sketch"), "node")
-    parted = staged(parted.select(F.col("node").alias("doc"), F.col("component").alias("cluster"), "part", "parts", "sketch"))
+    parted = parted.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).join(small(sketched, n_sketched).select(F.col("doc").alias("node"), "sketch", "n"), "node")
+    parted = staged(parted.select(F.col("node").alias("doc"), F.col("component").alias("cluster"), "m", "part", "parts", "sketch", "n"))
     # A few leaders go to all parts of a large cluster.
     order = F.xxhash64("doc", F.lit(7))
     lead = parted.filter("parts > 1").groupBy("cluster").agg(F.slice(F.array_sort(F.collect_list(F.when(F.abs(order) < F.lit(2**63 - 1) / F.col("parts") / CLUSTER * LEADERS, F.col("doc")))), 1, 4 * LEADERS).alias("lead"))
-    leaders = parted.join(F.broadcast(staged(lead.select(F.explode("lead").alias("doc")))), "doc").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    leaders = parted.join(small(staged(lead.select(F.explode("lead").alias("doc")))), "doc").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     first = staged(parted.unionByName(leaders).distinct().select("doc", "cluster", "part", F.col("doc").alias("known"), "sketch"))
     links = _confirmed(df, key, text, first, width, per_cent, limit)
     if parted.filter("parts > 1").limit(1).count():
@@ -264,9 +291,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", per_
         main = staged(count.groupBy("cluster").agg(F.max_by("known", "n").alias("main")))
         now = now.join(small(main), "cluster")
         outside = now.filter("known <> main")
-        if outside.limit(1).count():
-            spread = outside.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-            second = staged(now.unionByName(spread).distinct().select("doc", "cluster", "part", "known", "sketch"))
+        left_out = staged(outside.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCKED).alias("others")))
+        if left_out.limit(1).count():
+            upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+            dealt = now.join(small(left_out), "cluster").withColumn("blocks", F.ceil(F.col("m") / BLOCKED))
+            in_block = dealt.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks"))).withColumn("other", upto("others"))
+            against = dealt.filter("known <> main").withColumn("other", F.pmod(F.xxhash64("doc", F.lit(3)), F.col("others"))).withColumn("block", upto("blocks"))
+            met = in_block.unionByName(against).select("cluster", (F.col("block") * F.col("others") + F.col("other")).alias("part"), "doc", "known", "sketch", "n").distinct()
+            met = met.repartition("cluster", "part").sortWithinPartitions("cluster", "part", "doc")
+            second = staged(met.mapInArrow(_partnered(per_cent, limit), "cluster long, part long, doc long, known long, sketch binary"))
             links = links.union(_confirmed(df, key, text, second, width, per_cent, limit))
     found = components(links)
     named = classes.join(small(found).select(F.col("node").alias("rep"), "component"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))

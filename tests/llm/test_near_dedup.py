@@ -53,8 +53,9 @@ def corpus(seed=2):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("bucket, cluster, leaders", [(512, 256, 8), (2, 2, 1)])
-def test_components_equal_all_pairs(spark, monkeypatch, bucket, cluster, leaders):
+@pytest.mark.parametrize("bucket, cluster, leaders, blocked", [(512, 256, 8, 1024), (2, 2, 1, 3)])
+def test_components_equal_all_pairs(spark, monkeypatch, bucket, cluster, leaders, blocked):
+    monkeypatch.setattr(N, "BLOCKED", blocked)
     monkeypatch.setattr(N, "BUCKET", bucket)
     monkeypatch.setattr(N, "CLUSTER", cluster)
     monkeypatch.setattr(N, "LEADERS", leaders)
@@ -63,6 +64,20 @@ def test_components_equal_all_pairs(spark, monkeypatch, bucket, cluster, leaders
     assert got == plain(rows)
 
 
+def test_cluster_without_a_main_component(spark, monkeypatch):
+    """Pages of one template, alike at about 0.7, of which a few are near copies."""
+    monkeypatch.setattr(N, "CLUSTER", 8)
+    monkeypatch.setattr(N, "LEADERS", 1)
+    monkeypatch.setattr(N, "BLOCKED", 16)
+    r = random.Random(9)
+    template = [f"t{k}" for k in range(100)]
+    rows = [(i, " ".join(template + [f"p{i}w{k}" for k in range(22)])) for i in range(70)]
+    rows += [(100 + i, f"{rows[r.randrange(70)][1]} more{i}") for i in range(12)]
+    r.shuffle(rows)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain(rows)
+
+
 def test_odd_rows(spark):
     d = spark.createDataFrame([(1, "a b", 0), (1, "a b", 0), (None, "a b", 0), (2, "", 0), (3, None, 0), (4, "A  b", 0), (5, "x", 0), (6, "X", 0)], "doc_id long, text string, rep long")
     got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in N.near_duplicates(d).collect())
