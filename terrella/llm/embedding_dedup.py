@@ -10,11 +10,15 @@ Pairs come from tables: each takes its own run of code signs as a key, and vecto
 Keys are longer and tables more as the vectors grow in number, so that a key is shared by chance by few, and
 a pair at the threshold shares no key with probability MISS. Equal vectors form a class of which one goes on.
 A pair counts in the first table only in which it meets, so tables give counts and the links that join, never
-all pairs. Keys with more than BLOCK members are compared by pairs of blocks, each a group of its own.
+all pairs. Keys with more than BLOCK members are compared by pairs of blocks, each a group of its own. What goes
+to a key is the vector as the input has it, its code and factor; other tables' keys are worked out again for
+those that link.
 
 Rules for odd rows: vectors that are null, empty, zero or hold null or non-finite components link with nothing;
-vectors of different lengths don't link; rows that repeat an id and its vector are one vector; a row with a
-null id links with nothing; labels and other columns aren't read; an empty table gives no rows.
+vectors of different lengths don't link; rows that repeat an id and its vector are one vector; an id on several
+vectors joins what these link to, and each of its rows has the links of its own vector; a row with a null id links
+with nothing; labels and other columns aren't read; an empty table gives no rows. Very long vectors need no care
+beyond the room for a rotation, the square of their length.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrella.llm.common import small, staged
 from terrella.llm.components import components
@@ -34,6 +39,9 @@ from terrella.llm.shingles import mix
 
 THRESHOLD, MISS, BLOCK = 0.95, 1e-6, 4096
 
+#: Steps of a unit in which keys are worked out; sums of products stay far below 2**53.
+WHOLE = 2.0**20
+
 #: Rotations whose signs the estimates use, and standard deviations of the bounds.
 ROTATIONS, DEVIATIONS = 6, 5.0
 
@@ -66,7 +74,9 @@ def _read(vector: list | None) -> np.ndarray | None:
 
 
 def _classes(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Rows (id, size, one, two, vector): size 0 for vectors that link with nothing; one and two identify the vector."""
+    """Rows (id, size, one, two, vector): size 0 for vectors that link with nothing; one and two identify the vector,
+    whose bytes are those of 32-bit numbers if the input's are, else of 64-bit ones."""
+    kind = _number(df.schema[vector].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -74,8 +84,8 @@ def _classes(df: DataFrame, key: str, vector: str) -> DataFrame:
             for v, i in zip(batch.column(1).to_pylist(), ids):
                 x = _read(v) if i is not None else None
                 size.append(0 if x is None else len(x))
-                raw.append(b"" if x is None else x.tobytes())
-                words = np.frombuffer(raw[-1], np.uint64)
+                raw.append(b"" if x is None else x.astype(kind).tobytes())
+                words = np.zeros(0, np.uint64) if x is None else x.view(np.uint64)
                 place = np.arange(len(words), dtype=np.uint64)
                 for to, salt in ((one, 0x9E3779B97F4A7C15), (two, 0xC2B2AE3D27D4EB4F)):
                     to.append(int(mix(words + mix(place * np.uint64(salt) + np.uint64(1))).sum().view(np.int64)))
@@ -84,34 +94,50 @@ def _classes(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(F.col(key).cast("long"), F.col(vector)).mapInArrow(run, "id long, size long, one long, two long, vector binary")
 
 
-def _units(raw: list[bytes], size: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), np.float64).reshape(-1, size)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+def _number(kind: T.DataType) -> str:
+    return "float32" if isinstance(getattr(kind, "elementType", None), T.FloatType) else "float64"
+
+
+def _matrix(raw: list[bytes], size: int, kind: str) -> np.ndarray:
+    """Vectors as rows, scaled to a largest component of 1."""
+    x = np.frombuffer(b"".join(raw), kind).reshape(-1, size).astype(np.float64)
+    return x / np.abs(x).max(axis=1, keepdims=True)
+
+
+def _units(scaled: np.ndarray) -> np.ndarray:
+    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+
 
+def _keys(units: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """The vectors' key in each table: the same wherever it is worked out, as whole numbers add up alike in any order."""
+    size = units.shape[1]
+    turned = rotations(size, max(bits * tables, ROTATIONS * size))[: bits * tables]
+    plus = np.rint(units * WHOLE) @ np.rint(turned * WHOLE).T > 0
+    return (plus.reshape(len(units), tables, bits) @ (1 << np.arange(bits))).astype(np.int32)
 
-def _coded(reps: DataFrame, bits: int, tables: int) -> DataFrame:
+
+def _coded(reps: DataFrame, bits: int, tables: int, kind: str) -> DataFrame:
     """Adds keys (array<int>, one for each table), signs (packed) and factor."""
 
     def run(batches):
         for batch in batches:
-            sizes, raw = batch.column(1).to_numpy(), batch.column(3).to_pylist()
+            sizes, raw = batch.column(1).to_numpy(), batch.column(5).to_pylist()
             keys, signs, factors = np.zeros((len(raw), tables), np.int32), [b""] * len(raw), np.zeros(len(raw))
             for size in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == size)
-                turned = _units([raw[i] for i in at], size) @ rotations(size, max(bits * tables, ROTATIONS * size)).T
-                plus = turned > 0
-                keys[at] = (plus[:, : bits * tables].reshape(len(at), tables, bits) @ (1 << np.arange(bits))).astype(np.int32)
+                units = _units(_matrix([raw[i] for i in at], size, kind))
+                keys[at] = _keys(units, bits, tables)
                 used = ROTATIONS * size
-                factors[at] = np.abs(turned[:, :used]).sum(axis=1) / (ROTATIONS * math.sqrt(size))
-                for i, s in zip(at.tolist(), np.packbits(plus[:, :used], axis=1)):
+                turned = units @ rotations(size, used)[:used].T
+                factors[at] = np.abs(turned).sum(axis=1) / (ROTATIONS * math.sqrt(size))
+                for i, s in zip(at.tolist(), np.packbits(turned > 0, axis=1)):
                     signs[i] = s.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(k) for k in range(4)], pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1) * tables, pa.int32()), pa.array(keys.ravel())), pa.array(signs, pa.binary()), pa.array(factors)],
-                ["id", "size", "n", "vector", "keys", "signs", "factor"],
+                [*[batch.column(k) for k in range(6)], pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1) * tables, pa.int32()), pa.array(keys.ravel())), pa.array(signs, pa.binary()), pa.array(factors)],
+                ["id", "size", "one", "two", "n", "vector", "keys", "signs", "factor"],
             )
 
-    return reps.select("id", "size", "n", "vector").mapInArrow(run, "id long, size long, n long, vector binary, keys array<int>, signs binary, factor double")
+    return reps.select("id", "size", "one", "two", "n", "vector").mapInArrow(run, "id long, size long, one long, two long, n long, vector binary, keys array<int>, signs binary, factor double")
 
 
 def estimates(signs: np.ndarray, factor: np.ndarray, turned: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,26 +149,24 @@ def estimates(signs: np.ndarray, factor: np.ndarray, turned: np.ndarray, size: i
     return plus @ turned[:, :used].astype(np.float32).T / (ROTATIONS * math.sqrt(size) * f), bound
 
 
-def _linked(threshold: float, tables: int):
-    """From rows (table, key, left, right, size, block, id, n, vector, keys, signs, factor), sorted by the first five:
-    (id, other, links): links of id that are first met here, and where other isn't null a link of those that joins."""
+def _linked(threshold: float, bits: int, tables: int, kind: str):
+    """From rows (table, key, left, right, size, block, id, one, two, n, vector, signs, factor), sorted by the first five:
+    (id, one, two, links): links that are first met here, and (..., other, other1, other2): a link of those that joins."""
 
     def pairs(table: pa.Table):
-        size = table.column(4)[0].as_py()
-        ids, n, block = (table.column(k).to_numpy() for k in (6, 7, 5))
-        raw = np.frombuffer(b"".join(table.column(8).to_pylist()), np.float64).reshape(-1, size)
-        units = _units(table.column(8).to_pylist(), size)
-        turned = units @ rotations(size, ROTATIONS * size)[: ROTATIONS * size].T
-        keys = table.column(9).combine_chunks().flatten().to_numpy().reshape(-1, tables)
-        signs = np.frombuffer(b"".join(table.column(10).to_pylist()), np.uint8).reshape(len(ids), -1)
-        factor = table.column(11).to_numpy()
-        at, left, right = (table.column(k)[0].as_py() for k in (0, 2, 3))
-        top = np.abs(raw).max(axis=1, keepdims=True)
-        scaled = raw / top
+        at, left, right, size = (table.column(k)[0].as_py() for k in (0, 2, 3, 4))
+        block, n = table.column(5).to_numpy(), table.column(9).to_numpy()
+        names = list(zip(*(table.column(k).to_pylist() for k in (6, 7, 8))))
+        scaled = _matrix(table.column(10).to_pylist(), size, kind)
         norm = np.sqrt((scaled * scaled).sum(axis=1))
-        a, b = [], []
-        for start in range(0, len(ids), 512):
-            rows = np.arange(start, min(start + 512, len(ids)))
+        units = _units(scaled)
+        turned = units @ rotations(size, ROTATIONS * size)[: ROTATIONS * size].T
+        signs = np.frombuffer(b"".join(table.column(11).to_pylist()), np.uint8).reshape(len(names), -1)
+        factor = table.column(12).to_numpy()
+        links, own, joins = np.zeros(len(names)), np.arange(len(names)), []
+        keys, known = np.zeros((len(names), at), np.int32), np.zeros(len(names), bool)
+        for start in range(0, len(names), 512):
+            rows = np.arange(start, min(start + 512, len(names)))
             near, bound = estimates(signs[rows], factor[rows], turned, size)
             i, j = np.nonzero(near + bound + 1e-4 >= threshold)
             i = rows[i]
@@ -150,55 +174,64 @@ def _linked(threshold: float, tables: int):
             i, j = i[real], j[real]
             for k in range(0, len(i), 16384):
                 x, y = i[k : k + 16384], j[k : k + 16384]
-                if at:  # those that have met in an earlier table were done there
-                    new = ~(keys[x, :at] == keys[y, :at]).any(axis=1)
-                    x, y = x[new], y[new]
                 exact = (scaled[x] * scaled[y]).sum(axis=1) / (norm[x] * norm[y]) >= threshold
-                a.append(x[exact])
-                b.append(y[exact])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        links = np.bincount(a, weights=n[b], minlength=len(ids)) + np.bincount(b, weights=n[a], minlength=len(ids))
-        out = [(int(ids[k]), None, int(links[k])) for k in np.flatnonzero(links)]
-        own = np.arange(len(ids))
-        for i, j in zip(a.tolist(), b.tolist()):
-            if own[i] != own[j]:
-                out.append((int(ids[i]), int(ids[j]), 0))
-                own[own == own[j]] = own[i]
-        return out
+                x, y = x[exact], y[exact]
+                if at and len(x):  # those that have met in an earlier table were done there
+                    fresh = np.unique(np.concatenate((x, y)))
+                    fresh = fresh[~known[fresh]]
+                    if len(fresh):
+                        keys[fresh] = _keys(units[fresh], bits, tables)[:, :at]
+                        known[fresh] = True
+                    new = ~(keys[x] == keys[y]).any(axis=1)
+                    x, y = x[new], y[new]
+                links += np.bincount(x, weights=n[y], minlength=len(names)) + np.bincount(y, weights=n[x], minlength=len(names))
+                apart = own[x] != own[y]
+                for p, q in zip(x[apart].tolist(), y[apart].tolist()):
+                    if own[p] != own[q]:
+                        joins.append((*names[p], *names[q], 0))
+                        own[own == own[q]] = own[p]
+        return [(*names[k], None, None, None, int(links[k])) for k in np.flatnonzero(links)] + joins
 
     def run(batches):
         for table in _groups(batches, 5):
             out = [x for p, q in _bounds(table, 5) for x in pairs(table.slice(p, q - p))]
-            cols = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "other", "links"])
+            cols = list(zip(*out)) if out else [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "one", "two", "other", "other1", "other2", "links"])
 
     return run
 
 
 def linked_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """Rows (key, n_links, component_id, kept) for each vector, whatever its label."""
+    kind = _number(df.schema[vector].dataType)
     rows = staged(_classes(df, key, vector))
-    classes = staged(rows.filter("size > 0").groupBy("size", "one", "two").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("n")))
+    same, name = ["size", "one", "two"], ["id", "one", "two"]
+    classes = staged(rows.filter("size > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.count_distinct("id").alias("n")))
     n = classes.count()
-    reps = rows.join(small(classes, n), ["size", "one", "two"]).filter("id = rep").dropDuplicates(["id", "one", "two"])
+    reps = rows.join(small(classes, n), same).filter("id = rep").dropDuplicates(name)
     bits, tables = plan(n, threshold)
-    coded = staged(_coded(reps, bits, tables))
-    dealt = coded.select("id", "size", F.posexplode("keys").alias("table", "key"))
-    shared = dealt.groupBy("size", "table", "key").agg(F.count("*").alias("m"), F.min("id").alias("low"), F.sum(F.shiftright(F.xxhash64("id"), 20)).alias("mark")).filter("m > 1")
+    coded = staged(_coded(reps, bits, tables, kind))
+    dealt = coded.select(*name, "size", F.posexplode("keys").alias("table", "key"))
+    mark = F.sum(F.shiftright(F.xxhash64(*name), 20))
+    shared = dealt.groupBy("size", "table", "key").agg(F.count("*").alias("m"), F.min("id").alias("low"), mark.alias("mark")).filter("m > 1")
     # Of tables in which the same vectors meet, the first.
     shared = staged(shared.groupBy("size", "m", "low", "mark").agg(F.min(F.struct("table", "key")).alias("x")).select("size", "m", "x.*"))
     met = staged(dealt.join(small(shared), ["size", "table", "key"]))
     blocks = F.ceil(F.col("m") / BLOCK)
-    spread = met.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    spread = met.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(*name), F.col("blocks")))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    spread = spread.select("id", "table", "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block")
-    full = spread.join(coded, "id").select("table", "key", "left", "right", "size", "block", "id", "n", "vector", "keys", "signs", "factor")
+    spread = spread.select(*name, "table", "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block")
+    full = spread.join(coded.drop("keys"), name).select("table", "key", "left", "right", "size", "block", *name, "n", "vector", "signs", "factor")
     by = ["table", "key", "left", "right", "size"]
-    found = staged(full.repartition(*by).sortWithinPartitions(*by).mapInArrow(_linked(threshold, tables), "id long, other long, links long"))
-    links = found.filter("other is null").groupBy("id").agg(F.sum("links").alias("links"))
-    joined = components(found.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    named = classes.join(links.withColumnRenamed("id", "rep"), "rep", "left").join(small(joined).select(F.col("node").alias("rep"), "component"), "rep", "left")
-    named = named.select("size", "one", "two", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    out = rows.select("id", "size", "one", "two").join(named, ["size", "one", "two"], "left")
+    told = "id long, one long, two long, other long, other1 long, other2 long, links long"
+    found = staged(full.repartition(*by).sortWithinPartitions(*by).mapInArrow(_linked(threshold, bits, tables, kind), told))
+    links = found.filter("other is null").groupBy(*name).agg(F.sum("links").alias("links")).withColumnRenamed("id", "rep")
+    node = lambda *c: F.struct(*[F.col(x).alias(y) for x, y in zip(c, name)])
+    joined = components(found.filter("other is not null").select(node(*name).alias("a"), node("other", "other1", "other2").alias("b")))
+    joined = joined.select(F.col("node.id").alias("rep"), "node.one", "node.two", F.col("component.id").alias("component"))
+    own = ["rep", "one", "two"]
+    named = classes.join(links, own, "left").join(small(joined), own, "left")
+    named = named.select(*same, (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    out = rows.select("id", *same).join(named, same, "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
