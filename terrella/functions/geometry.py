@@ -117,6 +117,44 @@ def _side(rings: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.where(edge, 0, np.where(inside, 1, -1))
 
 
+def side_of_edges(edges: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The same for n x 4 edges at once; edges that end left of a point or miss its y may be left out."""
+    out = np.empty(len(x), np.int64)
+    x1, y1, x2, y2 = (edges[:, k][None, :] for k in range(4))
+    for at in range(0, len(x), max(1, 1_000_000 // max(1, len(edges)))):
+        to = at + max(1, 1_000_000 // max(1, len(edges)))
+        px, py = x[at:to, None], y[at:to, None]
+        on = ((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1) == 0) & (np.minimum(x1, x2) <= px) & (px <= np.maximum(x1, x2)) & (np.minimum(y1, y2) <= py) & (py <= np.maximum(y1, y2))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            over = ((y1 > py) != (y2 > py)) & (px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
+        out[at:to] = np.where(on.any(axis=1), 0, np.where(over.sum(axis=1) % 2 == 1, 1, -1))
+    return out
+
+
+def cover(data: bytes, step: float, fine: bool) -> tuple[list[int], list[int], list[bytes | None]]:
+    """Cells of a grid that a polygon has points in, each with what decides there: null in cells that lie inside, else
+    the edges at the cell's height and not left of it. Without fine, all cells of the polygon's box, with all edges."""
+    e = _segments(data)
+    if not len(e):
+        return [], [], []
+    low_x, high_x, low_y, high_y = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2]), np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
+    columns, rows = (range(math.floor(a.min() / step), math.floor(b.max() / step) + 1) for a, b in ((low_x, high_x), (low_y, high_y)))
+    cx, cy, edges = [], [], []
+    for r in rows:
+        here = slice(None) if not fine else np.flatnonzero((high_y >= r * step) & (low_y <= (r + 1) * step))
+        band = e[here]
+        for c in columns:
+            if fine and not _touches(band, c * step, r * step, (c + 1) * step, (r + 1) * step):
+                if side_of_edges(band, np.array([(c + 0.5) * step]), np.array([(r + 0.5) * step]))[0] < 0:
+                    continue
+                edges.append(None)
+            else:
+                edges.append((band[high_x[here] >= c * step] if fine else band).tobytes())
+            cx.append(c)
+            cy.append(r)
+    return cx, cy, edges
+
+
 def contains_points(data: bytes, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     out = np.zeros(len(x), bool)
     for p in _polygons(data):
@@ -124,25 +162,29 @@ def contains_points(data: bytes, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _touches(s: np.ndarray, x1: float, y1: float, x2: float, y2: float) -> bool:
+    """Whether an n x 4 piece shares a point with a box: each is clipped to it (Liang and Barsky)."""
+    if not len(s):
+        return False
+    d = s[:, 2:] - s[:, :2]
+    low, high = np.zeros(len(s)), np.ones(len(s))
+    for axis, a, b in ((0, x1, x2), (1, y1, y2)):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t1, t2 = (a - s[:, axis]) / d[:, axis], (b - s[:, axis]) / d[:, axis]
+        still = d[:, axis] == 0
+        within = (s[:, axis] >= a) & (s[:, axis] <= b)
+        low = np.where(still, np.where(within, low, 2.0), np.maximum(low, np.minimum(t1, t2)))
+        high = np.where(still, high, np.minimum(high, np.maximum(t1, t2)))
+    return bool((low <= high).any())
+
+
 def intersects_box(data: bytes, x1: float, y1: float, x2: float, y2: float) -> bool:
     """Whether a geometry and a box share a point."""
     p = flat(data)
     if len(p) and ((p[:, 0] >= x1) & (p[:, 0] <= x2) & (p[:, 1] >= y1) & (p[:, 1] <= y2)).any():
         return True
-    s = _segments(data)
-    if len(s):
-        # Clip each piece to the box (Liang and Barsky).
-        d = s[:, 2:] - s[:, :2]
-        low, high = np.zeros(len(s)), np.ones(len(s))
-        for axis, a, b in ((0, x1, x2), (1, y1, y2)):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                t1, t2 = (a - s[:, axis]) / d[:, axis], (b - s[:, axis]) / d[:, axis]
-            still = d[:, axis] == 0
-            within = (s[:, axis] >= a) & (s[:, axis] <= b)
-            low = np.where(still, np.where(within, low, 2.0), np.maximum(low, np.minimum(t1, t2)))
-            high = np.where(still, high, np.minimum(high, np.maximum(t1, t2)))
-        if (low <= high).any():
-            return True
+    if _touches(_segments(data), x1, y1, x2, y2):
+        return True
     return any(_side(g, np.array([x1]), np.array([y1]))[0] >= 0 for g in _polygons(data))
 
 
@@ -200,6 +242,27 @@ def st_contains(geometry: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+#: Cells as three arrays of one length.
+_CELLS = T.StructType([T.StructField("cx", T.ArrayType(T.LongType())), T.StructField("cy", T.ArrayType(T.LongType())), T.StructField("edges", T.ArrayType(T.BinaryType()))])
+
+
+@F.pandas_udf(_CELLS)
+def cells_of(geometry: pd.Series, level: pd.Series, fine: pd.Series) -> pd.DataFrame:
+    """cover() on the grid whose cells are 2**level wide."""
+    got = [([], [], []) if g is None else cover(g, 2.0 ** int(k), bool(f)) for g, k, f in zip(geometry, level, fine)]
+    return pd.DataFrame(got, columns=["cx", "cy", "edges"])
+
+
+@F.pandas_udf(T.BooleanType())
+def st_within_edges(edges: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+    """Whether points are inside, by their cell's edges from cover(); rows of the same edges are tested together."""
+    out = edges.isna().to_numpy()
+    for e, at in pd.Series(np.arange(len(edges))).groupby(edges.to_numpy(), sort=False):
+        k = at.to_numpy()
+        out[k] = side_of_edges(np.frombuffer(e, "<f8").reshape(-1, 4), x.to_numpy()[k], y.to_numpy()[k]) > 0
+    return pd.Series(out)
+
+
 @F.pandas_udf(T.BooleanType())
 def st_intersects_box(geometry: pd.Series, x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
     return pd.Series([g is not None and intersects_box(g, *b) for g, *b in zip(geometry, x1, y1, x2, y2)])

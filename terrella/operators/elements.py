@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,11 +38,12 @@ def extract(nodes: DataFrame, ways: DataFrame, relations: DataFrame, regions: Da
     """Elements by region, for all regions in one pass; regions: (iso, region_geometry, region_extent).
 
     simple: nodes inside, ways with a node inside, of which only the nodes inside; relations with such a member.
-    complete_ways: the same ways, with all their nodes.
+    complete_ways: the same ways, with all their nodes. The nodes inside are kept on the executors' disks, as each
+    output reads them; what an executor takes with it is worked out again.
     """
     if strategy not in ("simple", "complete_ways"):
         raise ValueError(f"unknown strategy: {strategy}")
-    inside = clip_to_regions(nodes, regions.select("iso", "region_geometry", "region_extent"), x="lon", y="lat").select("iso", *nodes.columns)
+    inside = clip_to_regions(nodes, regions.select("iso", "region_geometry", "region_extent"), x="lon", y="lat").select("iso", *nodes.columns).persist(StorageLevel.DISK_ONLY)
     touching = refs_of(ways).join(inside.select("iso", F.col("id").alias("ref")), "ref").select("iso", F.col("way").alias("id")).distinct()
     kept_ways = touching.join(ways, "id").select("iso", *ways.columns)
     kept_nodes = inside

@@ -1,8 +1,10 @@
 """Spatial filters and joins: plain box predicates that reach the scan, then exact tests.
 
-A polygon join never compares all pairs. Both sides are laid on a grid and joined on the cell; the exact test
-comes last. A polygon goes to a grid whose cells are about as large as its own box, so it covers few cells
-whatever its size; a point goes to one cell of each grid in use, of which there are a few dozen at most.
+A polygon join never compares all pairs. Both sides are laid on a grid and joined on the cell. A small polygon
+goes to a grid whose cells are about as large as its own box; a wide one to a grid 16 times as fine, where cells
+inside of it need no test and cells on its border carry only the edges that decide there, so no candidate carries a
+whole geometry. A point goes to one cell of each grid in use, of which there are a few dozen at most. The cells of
+wide polygons are salted, as many points may lie in one.
 """
 
 from __future__ import annotations
@@ -49,9 +51,12 @@ def with_hilbert_key(df: DataFrame, by: list[str], box: str = "extent", out: str
     return joined.withColumn(out, G.hilbert_key((b["xmin"] + b["xmax"]) / 2, (b["ymin"] + b["ymax"]) / 2, w["xmin"], w["ymin"], w["xmax"], w["ymax"])).drop("whole")
 
 
-#: Grid levels: cells of 2**level units; a polygon covers 3 x 3 cells of its level at most.
+#: Grid levels: cells of 2**level units; a small polygon covers 3 x 3 cells of its level at most.
 _LEAST, _MOST = -40, 20
 
+#: Units from which a polygon is wide; levels by which its cells are finer; salts of a cell of it.
+WIDE, FINER, SALTS = 0.5, 4, 8
+
 
 def _level(width: Column) -> Column:
     return F.greatest(F.lit(_LEAST), F.least(F.lit(_MOST), F.ceil(F.log2(F.greatest(width, F.lit(1e-11)))))).cast("int")
@@ -61,22 +66,28 @@ def _cell(v: Column, level: Column) -> Column:
     return F.floor(v / F.pow(F.lit(2.0), level)).cast("long")
 
 
-def join_containing(polygons: DataFrame, points: DataFrame, geometry: str = "geometry", box: str = "extent", x: str = "x", y: str = "y", exact: bool = True) -> DataFrame:
-    """Pairs of polygon and point where the polygon contains the point; columns of both sides.
+def join_containing(polygons: DataFrame, points: DataFrame, geometry: str = "geometry", box: str = "extent", x: str = "x", y: str = "y") -> DataFrame:
+    """Pairs of polygon and point where the polygon contains the point; columns of both sides, less the geometry.
 
-    polygons: with WKB and a double box. A point lies in one cell of a grid, so no pair comes twice.
+    polygons: with WKB and a double box. A point lies in one cell of a grid, so no pair comes twice. Parts of a
+    multipolygon don't overlap.
     """
     b = F.col(box)
-    p = polygons.withColumn("__level", _level(F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])))
-    for axis, (low, high) in {"__cx": ("xmin", "xmax"), "__cy": ("ymin", "ymax")}.items():
-        p = p.withColumn(axis, F.explode(F.sequence(_cell(b[low], F.col("__level")), _cell(b[high], F.col("__level")))))
-    levels = p.select("__level").distinct()  # at most _MOST - _LEAST + 1 rows
-    q = points.crossJoin(F.broadcast(levels)).withColumn("__cx", _cell(F.col(x), F.col("__level"))).withColumn("__cy", _cell(F.col(y), F.col("__level")))
+    width = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
+    wide = width >= WIDE
+    p = polygons.withColumns({"__wide": wide, "__level": _level(width) - F.when(wide, FINER).otherwise(0)})
+    p = p.withColumn("__cells", G.cells_of(F.col(geometry), F.col("__level"), F.col("__wide"))).drop(geometry)
+    salts = F.when(F.col("__wide"), SALTS).otherwise(1)
+    p = p.withColumn("__cell", F.explode(F.arrays_zip("__cells.cx", "__cells.cy", "__cells.edges"))).drop("__cells")
+    p = p.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumns({"__cx": F.col("__cell.cx"), "__cy": F.col("__cell.cy"), "__edges": F.col("__cell.edges")}).drop("__cell")
+    grids = polygons.select(wide.alias("__wide"), (_level(width) - F.when(wide, FINER).otherwise(0)).alias("__level")).distinct()  # twice _MOST - _LEAST + 1 rows at most
+    q = points.crossJoin(F.broadcast(grids)).withColumn("__cx", _cell(F.col(x), F.col("__level"))).withColumn("__cy", _cell(F.col(y), F.col("__level")))
+    plain = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    q = q.withColumn("__salt", F.pmod(F.xxhash64(*plain), salts).cast("int"))
     in_box = (F.col(x) >= b["xmin"]) & (F.col(x) <= b["xmax"]) & (F.col(y) >= b["ymin"]) & (F.col(y) <= b["ymax"])
-    joined = p.join(q, ["__level", "__cx", "__cy"]).filter(in_box)
-    if exact:
-        joined = joined.filter(G.st_contains(F.col(geometry), F.col(x), F.col(y)))
-    return joined.drop("__level", "__cx", "__cy")
+    by = ["__wide", "__level", "__cx", "__cy", "__salt"]
+    joined = p.join(q, by).filter(in_box).filter(G.st_within_edges(F.col("__edges"), F.col(x), F.col(y)))
+    return joined.drop(*by, "__edges")
 
 
 def clip_to_regions(points: DataFrame, regions: DataFrame, geometry: str = "region_geometry", box: str = "region_extent", x: str = "x", y: str = "y") -> DataFrame:

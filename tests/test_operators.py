@@ -209,3 +209,31 @@ def test_expected_regions(spark):
 def test_header_policy(spark):
     d = spark.createDataFrame([("a", "public, immutable", "immutable", None), ("b", "max-age=300, immutable", "max-age", "immutable"), ("c", None, "x", None)], "object string, cache_control string, want string, forbid string")
     assert [r.passed for r in manifests.header_policy(d).orderBy("object").collect()] == [True, False, False]
+
+
+def test_wide_polygons_by_cells_equal_the_whole_test(spark):
+    """A star with a hole, two parts and a small square: each point by cells and by all rings."""
+    import math
+    import random
+
+    from terrella.functions import geometry as G
+    from terrella.operators import spatial
+
+    r = random.Random(7)
+
+    def star(cx, cy, size, n):
+        ring = [(cx + size * (1 + 0.6 * (k % 2)) * math.cos(2 * math.pi * k / n), cy + size * (1 + 0.6 * (k % 2)) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+        return [*ring, ring[0]]
+
+    shapes = {1: G.to_wkb("Polygon", [star(0, 0, 5, 300), star(0.5, 0.2, 2, 40)]), 2: G.to_wkb("MultiPolygon", [[star(12, 3, 2, 12)], [star(-9, -4, 1, 7)]]), 3: G.to_wkb("Polygon", [[(1, 1), (1.25, 1), (1.25, 1.25), (1, 1.25), (1, 1)]]), 4: G.to_wkb("Polygon", [[(-8, -8), (8, -8), (8, 8), (-8, 8), (-8, -8)]])}
+    points = [(i, r.uniform(-13, 16), r.uniform(-9, 9)) for i in range(3000)] + [(5000 + i, x, y) for i, (x, y) in enumerate([(-8.0, 0.0), (8.0, 8.0), (0.0, 0.0), (1.0, 1.1), (1.125, 1.125), (4.0, 4.0), (-8.0, -8.0), (0.0, -8.0)])]
+    p = spark.createDataFrame([(k, bytearray(g), G.bounds(g)) for k, g in shapes.items()], "box_id int, geometry binary, extent struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    q = spark.createDataFrame(points, "point_id int, x double, y double")
+    got = sorted((a.box_id, a.point_id) for a in spatial.join_containing(p, q).collect())
+    x, y = np.array([a[1] for a in points]), np.array([a[2] for a in points])
+    want = sorted((k, points[i][0]) for k, g in shapes.items() for i in np.flatnonzero(G.contains_points(g, x, y)))
+    assert got == want and len({k for k, _ in want}) == 4
+    plan = spatial.join_containing(p, q)._jdf.queryExecution().optimizedPlan().toString()
+    assert "geometry" not in plan[: plan.index("Join")]
+    cx, cy, edges = G.cover(shapes[4], 1.0, True)
+    assert sum(e is None for e in edges) == 14 * 14 and max(len(e) for e in edges if e) <= 4 * 32
