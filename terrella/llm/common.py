@@ -14,6 +14,9 @@ SEPARATORS = "\\x20\\x09-\\x0D"
 #: A table is broadcast only if its counted rows, and the bytes that these take in memory, are at most so many.
 BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 32_000_000
 
+#: Rows of a bucket, about, and the most buckets of a table.
+BUCKET_ROWS, MOST_BUCKETS = 20_000, 100_000
+
 #: Bytes in memory for a byte of a staged file, about; types whose values all take the same room.
 EXPANSION, _FIXED = 4, ("boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz")
 
@@ -48,6 +51,21 @@ def staged(df: DataFrame) -> DataFrame:
     return back
 
 
+def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """Cut lineage like staged(), dealt to buckets by key; and the number of buckets. A join by key with a table that is
+    repartitioned by key into as many moves the other side only."""
+    spark = df.sparkSession
+    name = f"terrella_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    n = min(MOST_BUCKETS, max(2 * spark.sparkContext.defaultParallelism, df.count() // BUCKET_ROWS + 1))
+    df.repartition(n, key).write.bucketBy(n, key).option("compression", "zstd").option("path", path).saveAsTable(name)
+    back = spark.table(name)
+    # The files stay, as the table is external; only its name goes.
+    spark.sql(f"DROP TABLE {name}")
+    back._staged_at = path
+    return back, n
+
+
 def _folder(df: DataFrame):
     """(file system, path) of a staged table; None for others."""
     path = getattr(df, "_staged_at", None)

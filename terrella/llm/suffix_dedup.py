@@ -34,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrella.llm.common import identity, release, small, staged
+from terrella.llm.common import bucketed, identity, release, small, staged
 from terrella.llm.near_dedup import _bounds, _groups
 from terrella.llm.shingles import mix, slices
 
@@ -208,6 +208,11 @@ def _anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, "row binary, a int, b int, p int, anchor long, one long, two long")
 
 
+def _lists(rows: DataFrame, buckets: int, listed: Column) -> DataFrame:
+    """rows by row, as lists: the side of a join with texts that moves, to the texts' buckets, and is hashed there."""
+    return rows.repartition(buckets, "row").groupBy("row").agg(listed.alias("list")).hint("shuffle_hash")
+
+
 def _cores(docs: DataFrame, wanted: DataFrame, length: int, core: int) -> DataFrame:
     """wanted: (row, list of (anchor, one, two, n, a, b, p)). The runs of each stretch, with the hash of their core."""
 
@@ -334,8 +339,8 @@ def _hot(segments: DataFrame, length: int, core: int) -> DataFrame:
     return runs.union(single)
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, stride: int = STRIDE) -> DataFrame:
-    """docs: (row, text) with text not null. Rows (row, a, b): runs of starts whose strings repeat."""
+def repeats(docs: DataFrame, buckets: int, length: int = LENGTH, gram: int = GRAM, stride: int = STRIDE) -> DataFrame:
+    """docs: (row, text) with text not null, in so many buckets by row. Rows (row, a, b): runs of starts whose strings repeat."""
     anchors = staged(_anchors(docs, length, gram))
     twice = anchors.groupBy("anchor").agg(F.count("*").alias("m"), ((F.min("one") != F.max("one")) | (F.min("two") != F.max("two"))).alias("mixed")).filter("m > 1")
     again = staged(anchors.join(small(staged(twice)).select("anchor", "mixed"), "anchor"))
@@ -344,13 +349,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, stride: int
     alike = again.filter("mixed").groupBy("anchor", "one", "two").agg(F.count("*").alias("n"), F.min(F.struct("row", "a", "b", "p")).alias("x"))
     alike = staged(alike.select("anchor", "one", "two", "n", "x.*"))
     stretch = ["anchor", "one", "two", "n", "a", "b", "p"]
-    wanted = alike.groupBy("row").agg(F.collect_list(F.struct(*stretch)).alias("list"))
-    runs = staged(_cores(docs, small(staged(wanted)), length, CORE).dropDuplicates(["one", "two", "lo"]))
+    runs = staged(_cores(docs, _lists(alike, buckets, F.collect_list(F.struct(*stretch))), length, CORE).dropDuplicates(["one", "two", "lo"]))
     shared = staged(runs.groupBy("core").agg(F.sum("n").alias("m")).filter("m > 1").select("core"))
     kept = staged(runs.join(small(shared), "core").groupBy("one", "two").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
     release(runs, shared)
-    wanted = alike.join(small(kept), ["one", "two"]).groupBy("row").agg(F.collect_list(F.struct("anchor", "one", "two", "n", "a", "p", "runs")).alias("list"))
-    segments = staged(_segments(docs, small(staged(wanted)), length).dropDuplicates(["one", "two", "base"]))
+    wanted = _lists(alike.join(small(kept), ["one", "two"]), buckets, F.collect_list(F.struct("anchor", "one", "two", "n", "a", "p", "runs")))
+    segments = staged(_segments(docs, wanted, length).dropDuplicates(["one", "two", "base"]))
     many = staged(segments.groupBy("anchor").agg(F.count("*").alias("d")).filter(F.col("d") > HOT).select("anchor"))
     n_many = many.count()
     cold = segments.join(small(many, n_many), "anchor", "left_anti")
@@ -391,7 +395,8 @@ def _removed(length: int, key: str, with_text: bool):
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, stride: int = STRIDE, with_text: bool = False) -> DataFrame:
     """Rows (key, n_bytes, n_removed, n_spans, kept_sha256), and with_text the kept bytes."""
     docs = df.select(F.col(key).alias("__key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", identity("__key", "text"))
-    found = repeats(docs.select("row", "text"), length, gram, stride)
-    lists = staged(found.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("list")))
+    docs, buckets = bucketed(docs, "row")  # the only time that texts move
+    found = repeats(docs.select("row", "text"), buckets, length, gram, stride)
+    lists = _lists(found, buckets, F.collect_set(F.struct("a", "b")))
     kind = df.schema[key].dataType.simpleString()
-    return docs.join(small(lists), "row", "left").select("__key", "text", "list").mapInArrow(_removed(length, key, with_text), f"{key} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
+    return docs.join(lists, "row", "left").select("__key", "text", "list").mapInArrow(_removed(length, key, with_text), f"{key} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
