@@ -49,6 +49,13 @@ def index(objects: DataFrame, now: datetime | None = None) -> str:
     return json.dumps({"manifest_version": "1", "generated_at": at, "snapshots": rows}, indent=2)
 
 
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """(date, path, objects, bytes) of the snapshots that an index lists."""
+    schema = "manifest_version string, generated_at string, snapshots array<struct<date:string,path:string,objects:bigint,bytes:bigint>>"
+    whole = spark.read.schema(schema).option("multiLine", True).json(path)
+    return whole.select(F.explode("snapshots").alias("s")).select("s.*")
+
+
 class Store:
     """Files below a root, by way of Spark's own file system classes."""
 
@@ -138,13 +145,22 @@ def publish(spark: SparkSession, built: str, root: str, day: str, now: datetime
     # The mirror is made beside the old one and takes its place by a rename, so no file of the old one stays.
     store.delete("latest.new")
     store.copy(f"{store.root}/{day}", "latest.new")
-    store.delete("latest")
+    # Between the two renames latest/ is away for a moment; the old one goes after that.
+    store.delete("latest.old")
+    if store.exists("latest"):
+        store.rename("latest", "latest.old")
     store.rename("latest.new", "latest")
+    store.delete("latest.old")
     store.write_text("ATTRIBUTION.txt", ATTRIBUTION)
     store.write_text("snapshots.json", index(store.objects(), now))
     return steps
 
 
+def cleanup(spark: SparkSession, built: str) -> None:
+    """Removes the intermediate folder of a build."""
+    Store(spark, built).delete("_work")
+
+
 def prune(spark: SparkSession, root: str, now: date, execute: bool = False) -> DataFrame:
     """(name, day, verdict) of all dated folders; with execute those to delete go, and the index is renewed."""
     store = Store(spark, root)

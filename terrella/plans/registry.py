@@ -6,7 +6,9 @@ SQL says how. Every query reads its tables whole.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from terrella.functions import geometry as G
 from terrella.functions import tags as T
 from terrella.functions import text as X
 from terrella.operators import listing, manifests, snapshots, spatial, themes
+from terrella.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,12 +118,12 @@ NUMBERS = ["3", "3.5", "2.5", "-3.5", " 3 ", "3;4", "1e3", "", "+5", "0x10", "3,
 
 @query(
     "p5_try_cast_matrix",
-    "WITH s AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in NUMBERS) + "]) AS v), w AS (SELECT v, p_partkey, v || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE ' ' END AS t FROM s, (SELECT p_partkey FROM part WHERE p_partkey <= 4)) "
+    "WITH s AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in NUMBERS) + "]) AS v), w AS (SELECT v, p_partkey, v || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE ' ' END AS t FROM s, part) "
     "SELECT p_partkey, v, TRY_CAST(t AS INTEGER) AS i, CASE WHEN isinf(TRY_CAST(t AS DOUBLE)) THEN 'inf' ELSE CAST(round(TRY_CAST(t AS DOUBLE), 6) AS VARCHAR) END IS NOT NULL AS is_number, CASE WHEN abs(TRY_CAST(t AS DOUBLE)) < 1e15 THEN round(TRY_CAST(t AS DOUBLE), 6) END AS d FROM w",
 )
 def p5_try_cast_matrix(spark, sf):
     v = F.explode(F.array(*[F.lit(x) for x in NUMBERS])).alias("v")
-    rows = table(spark, sf, "part").filter("p_partkey <= 4").select("p_partkey", v).withColumn("t", F.concat("v", F.when(F.col("p_partkey") % 2 == 0, "").otherwise(" ")))
+    rows = table(spark, sf, "part").select("p_partkey", v).withColumn("t", F.concat("v", F.when(F.col("p_partkey") % 2 == 0, "").otherwise(" ")))
     d = T.to_double(F.col("t"))
     return rows.select("p_partkey", "v", T.to_int(F.col("t")).alias("i"), d.isNotNull().alias("is_number"), F.when(F.abs(d) < 1e15, F.round(d, 6)).alias("d"))
 
@@ -216,10 +219,10 @@ def p11_tag_num_bbox(spark, sf):
     return inside.join(typed.filter("levels > 30"), F.col("vec_id") == F.col("p_partkey")).agg(F.count("*").alias("n"))
 
 
-@query("j2_contains_grid_join", f"WITH p AS ({_PTS}) SELECT b.vec_id AS box_id, p.vec_id AS point_id FROM p b JOIN p ON p.x > b.x - 3.0 AND p.x < b.x + 3.0 AND p.y > b.y - 3.0 AND p.y < b.y + 3.0 WHERE b.label < 3 AND p.label = 5")
+@query("j2_contains_grid_join", f"WITH p AS ({_PTS}) SELECT b.vec_id AS box_id, p.vec_id AS point_id FROM p b JOIN p ON p.x > b.x - 3.0 AND p.x < b.x + 3.0 AND p.y > b.y - 3.0 AND p.y < b.y + 3.0")
 def j2_contains_grid_join(spark, sf):
-    p = points(spark, sf).filter("label = 5").select(F.col("vec_id").alias("point_id"), "x", "y")
-    return spatial.join_containing(boxes(spark, sf, 3.0, "label < 3"), p).select("box_id", "point_id")
+    p = points(spark, sf).select(F.col("vec_id").alias("point_id"), "x", "y")
+    return spatial.join_containing(boxes(spark, sf, 3.0, "true"), p).select("box_id", "point_id")
 
 
 @query("j3_dwithin", f"SELECT vec_id FROM ({_PTS}) WHERE sqrt((x - 5) * (x - 5) + (y - 2) * (y - 2)) <= 15")
@@ -238,17 +241,31 @@ _CELLS = "SELECT iso, -180 + 72.0 * (k % 5) AS x1, -90 + 36.0 * (k // 5) AS y1 F
 @query("j4_region_clip", f"SELECT iso, vec_id FROM ({_PTS}) p JOIN ({_CELLS}) r ON x > x1 AND x < x1 + 72 AND y > y1 AND y < y1 + 36")
 def j4_region_clip(spark, sf):
     """Points to regions laid out as a 5 by 5 grid of rectangles."""
+    return spatial.clip_to_regions(points(spark, sf), laid_out_regions(spark, sf)).select("iso", "vec_id")
+
+
+def laid_out_regions(spark, sf) -> DataFrame:
     from pyspark.sql import Window
 
     k = F.row_number().over(Window.orderBy("iso")) - 1  # 25 regions
     r = region_names(spark, sf).withColumn("k", k)
     x1, y1 = -180 + 72.0 * (F.col("k") % 5), -90 + 36.0 * F.floor(F.col("k") / 5)
     r = r.select("iso", F.struct(x1.alias("xmin"), y1.alias("ymin"), (x1 + 72).alias("xmax"), (y1 + 36).alias("ymax")).alias("region_extent"))
-    r = r.withColumn("region_geometry", G.wkb_box("region_extent.xmin", "region_extent.ymin", "region_extent.xmax", "region_extent.ymax"))
-    return spatial.clip_to_regions(points(spark, sf), r).select("iso", "vec_id")
+    return r.withColumn("region_geometry", G.wkb_box("region_extent.xmin", "region_extent.ymin", "region_extent.xmax", "region_extent.ymax"))
 
 
-@query("o1_hilbert_key")
+def _hilbert_sql(bits: int = 16) -> str:
+    """One step of the curve for each bit, from the highest: the quadrant's number, then the turn."""
+    cell = lambda v, a, b: f"CAST(trunc(CASE WHEN {b} > {a} THEN ({v} - {a}) / ({b} - {a}) * 65535 ELSE 0 END) AS BIGINT)"
+    sql = f"SELECT vec_id, label, {cell('x', 'x1', 'x2')} AS x, {cell('y', 'y1', 'y2')} AS y, CAST(0 AS BIGINT) AS h FROM ({_PTS}) JOIN (SELECT label AS l, min(x) AS x1, max(x) AS x2, min(y) AS y1, max(y) AS y2 FROM ({_PTS}) GROUP BY 1) ON label = l"
+    for k in range(bits - 1, -1, -1):
+        rx, ry, top = f"((x >> {k}) & 1)", f"((y >> {k}) & 1)", (1 << bits) - 1
+        turned = lambda v, other: f"CASE WHEN {ry} = 1 THEN {v} WHEN {rx} = 1 THEN {top} - {other} ELSE {other} END"
+        sql = f"SELECT vec_id, label, {turned('x', 'y')} AS x, {turned('y', 'x')} AS y, h + {1 << 2 * k} * xor(3 * {rx}, {ry}) AS h FROM ({sql})"
+    return f"SELECT vec_id, label, h AS hilbert FROM ({sql})"
+
+
+@query("o1_hilbert_key", _hilbert_sql())
 def o1_hilbert_key(spark, sf):
     return spatial.with_hilbert_key(with_extent(points(spark, sf)), ["label"]).select("vec_id", "label", "hilbert")
 
@@ -662,3 +679,207 @@ def e4_clipped_runs(spark, sf):
     e = ways_and_nodes(spark, sf)
     got = extract(e["nodes"], e["ways"], e["relations"], one_region(spark, 10.5, 9.001, 30.5, 12.003))
     return clipped_runs(e["ways"], got["nodes"]).select("way", F.size("line").cast("long").alias("points"))
+
+
+@query("e3_extract_strategies", f"SELECT 'simple' AS strategy, count(DISTINCT p_partkey) AS nodes, (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {_INSIDE}) AS ways FROM part WHERE {_INSIDE} UNION ALL SELECT 'complete_ways', count(DISTINCT id), (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {_INSIDE}) FROM (SELECT l_partkey AS id FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {_INSIDE}) UNION SELECT p_partkey FROM part WHERE {_INSIDE})")
+def e3_extract_strategies(spark, sf):
+    from terrella.operators.elements import extract
+
+    e, out = ways_and_nodes(spark, sf), None
+    for strategy in ("simple", "complete_ways"):
+        got = extract(e["nodes"], e["ways"], e["relations"], one_region(spark, 10.5, 9.001, 30.5, 12.003), strategy)
+        both = got["nodes"].agg(F.count("*").alias("nodes")).crossJoin(got["ways"].agg(F.count("*").alias("ways")))  # one row by one row
+        row = both.select(F.lit(strategy).alias("strategy"), "nodes", "ways")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("e5_filter_with_referenced", "SELECT 'node' AS kind, count(DISTINCT l_partkey) AS n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 100000) UNION ALL SELECT 'way', count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 100000)")
+def e5_filter_with_referenced(spark, sf):
+    """Ways that meet a filter, and the nodes, without tags that do, to which they refer."""
+    from terrella.operators.elements import matching
+
+    e = ways_and_nodes(spark, sf)
+    priced = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_totalprice") > 100000, "primary").alias("highway"))
+    ways = e["ways"].drop("tags").join(priced, "id").withColumn("tags", F.when(F.col("highway").isNull(), F.create_map(F.lit("name"), F.lit("x"))).otherwise(F.create_map(F.lit("highway"), F.col("highway")))).drop("highway")
+    got = matching({"nodes": e["nodes"], "ways": ways, "relations": e["relations"]}, themes.THEMES["roads"], include_referenced=True)
+    return got["nodes"].agg(F.count("*").alias("n")).select(F.lit("node").alias("kind"), "n").unionByName(got["ways"].agg(F.count("*").alias("n")).select(F.lit("way").alias("kind"), "n"))
+
+
+@query(
+    "e6_export_features",
+    """WITH s AS (SELECT s_suppkey AS s, CAST(s_suppkey % 100 AS DOUBLE) AS x, CAST(s_suppkey // 100 AS DOUBLE) AS y FROM supplier)
+ SELECT s AS osm_id, 'relation' AS osm_type, 'polygon' AS geometry_kind, x AS xmin, y AS ymin, x + 0.5 AS xmax, y + 0.5 AS ymax FROM s
+ UNION ALL SELECT 1000000000 + s, 'way', k, x, y, x + 0.5, y + 0.5 FROM s, (SELECT unnest(['polygon', 'linestring']) AS k) WHERE s % 2 = 0
+ UNION ALL SELECT 8 * s, 'node', 'point', x, y, x, y FROM s WHERE s % 3 = 0""",
+)
+def e6_export_features(spark, sf):
+    """Suppliers as squares: a relation of two half rings, for even ones a closed way too, and a tagged corner for each third."""
+    from terrella.operators.elements import features
+
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("s"))
+    corners = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for k, dx, dy in ((0, 0.0, 0.0), (1, 0.5, 0.0), (2, 0.5, 0.5), (3, 0.0, 0.5))]))
+    no_tags = F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))
+    building = F.create_map(F.lit("building"), F.lit("yes"))
+    c = s.select("s", corners.alias("c"))
+    nodes = c.select((8 * F.col("s") + F.col("c.k")).alias("id"), (F.col("s") % 100 + F.col("c.dx")).alias("lon"), (F.floor(F.col("s") / 100) + F.col("c.dy")).alias("lat"), F.when((F.col("c.k") == 0) & (F.col("s") % 3 == 0), F.create_map(F.lit("shop"), F.lit("books"))).otherwise(no_tags).alias("tags"))
+    at = lambda *ks: F.array(*[8 * F.col("s") + k for k in ks])
+    halves = [s.select((10 * F.col("s") + k).alias("id"), at(*ks).alias("refs"), no_tags.alias("tags")) for k, ks in ((0, (0, 1, 2)), (1, (0, 3, 2)))]
+    closed = s.filter("s % 2 = 0").select((F.lit(1_000_000_000) + F.col("s")).alias("id"), at(0, 1, 2, 3, 0).alias("refs"), building.alias("tags"))
+    member = lambda k: F.struct(F.lit("way").alias("type"), (10 * F.col("s") + k).alias("ref"), F.lit("outer").alias("role"))
+    relations = s.select(F.col("s").alias("id"), F.array(member(0), member(1)).alias("members"), F.create_map(F.lit("type"), F.lit("multipolygon"), F.lit("building"), F.lit("yes")).alias("tags"))
+    got = features({"nodes": nodes, "ways": halves[0].unionByName(halves[1]).unionByName(closed), "relations": relations})
+    return got.select("osm_id", "osm_type", "geometry_kind", G.extent_of("geometry").alias("e")).select("osm_id", "osm_type", "geometry_kind", "e.*")
+
+
+@query("e7_extract_all_regions", f"SELECT iso, count(*) AS nodes FROM ({_PTS}) p JOIN ({_CELLS}) r ON x > x1 AND x < x1 + 72 AND y > y1 AND y < y1 + 36 GROUP BY iso")
+def e7_extract_all_regions(spark, sf):
+    """All regions in one pass over the elements."""
+    from terrella.operators.elements import extract
+
+    nodes = points(spark, sf).select(F.col("vec_id").alias("id"), F.col("x").alias("lon"), F.col("y").alias("lat"), F.create_map(F.lit("a"), F.lit("b")).alias("tags"))
+    ways = nodes.select("id", F.array("id", "id").alias("refs"), "tags")
+    none = spark.createDataFrame([], "id bigint, members array<struct<type:string,ref:bigint,role:string>>, tags map<string,string>")
+    got = extract(nodes, ways, none, laid_out_regions(spark, sf))
+    return got["nodes"].groupBy("iso").agg(F.count("*").alias("nodes")).join(got["ways"].select("iso").distinct(), "iso")
+
+
+# ---- Sources and sinks: what is written is read back ----------------------------------------------------------------
+
+
+_SHOPS = f"SELECT p_partkey, CAST(p_partkey % 50 AS DOUBLE) AS x, shop, railway, highway, CASE p_partkey % 2 WHEN 0 THEN 'US-NY' ELSE 'CA-ON' END AS iso FROM ({_ELEMENTS}) WHERE kind = 'node'"
+_TREE = f"SELECT 'pois' AS theme, iso AS state_iso, p_partkey AS osm_id FROM ({_SHOPS}) WHERE shop IS NOT NULL UNION ALL SELECT 'public_transport', iso, p_partkey FROM ({_SHOPS}) WHERE coalesce(highway = 'bus_stop', false) OR coalesce(railway = 'station', false)"
+_BUILT = ("pois", "public_transport", "places")
+
+
+def feature_lines(spark, sf) -> str:
+    """Writes the elements as GeoJSON lines, one in seven without a geometry; the path."""
+    at = F.struct(F.lit("Point").alias("type"), F.array((F.col("p_partkey") % 50).cast("double"), F.lit(1.0)).alias("coordinates"))
+    line = F.struct(F.lit("Feature").alias("type"), F.col("p_partkey").cast("string").alias("id"), F.col("tags").alias("properties"), F.when(F.col("p_partkey") % 7 != 0, at).alias("geometry"))
+    path = scratch(spark)
+    elements(spark, sf).select(F.to_json(line, {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+    return path
+
+
+def built_tree(spark, sf) -> str:
+    """Builds three themes, one of them empty, for two regions; the root of the tree."""
+    from terrella.sources import tables
+
+    root, n = scratch(spark), F.col("p_partkey")
+    nodes = elements(spark, sf).filter("kind = 'node'")
+    located = nodes.select(n.alias("osm_id"), F.col("kind").alias("osm_type"), F.when(n % 2 == 0, "US").otherwise("CA").alias("country"), F.when(n % 2 == 0, "New York").otherwise("Ontario").alias("state"), F.when(n % 2 == 0, "US-NY").otherwise("CA-ON").alias("state_iso"), "tags", (n % 50).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    located = with_extent(located).withColumns({"geometry": G.wkb_point("x", "y"), "geometry_kind": F.lit("Point")}).drop("x", "y")
+    tables.build(located, root, list(_BUILT), "x.pbf", "osm_type")
+    return root
+
+
+@query("s3_feature_lines", f"SELECT p_partkey AS osm_id, 'Point' AS geometry_kind, CAST(p_partkey % 50 AS DOUBLE) AS xmin, shop, highway FROM ({_ELEMENTS}) WHERE p_partkey % 7 <> 0")
+def s3_feature_lines(spark, sf):
+    """Lines written and read; those without a geometry drop, and a path that isn't there gives no rows."""
+    from terrella.sources import geojson
+
+    path = feature_lines(spark, sf)
+    got = geojson.features(geojson.read_lines(spark, path, f"{path}/none.jsonl"))
+    return got.select("osm_id", "geometry_kind", "extent.xmin", T.tag("tags", "shop").alias("shop"), T.tag("tags", "highway").alias("highway"))
+
+
+@query("s2_region_collection", f"SELECT iso, name, split_part(iso, '-', 1) AS country, CAST(length(name) AS DOUBLE) AS xmax FROM ({_REGIONS})")
+def s2_region_collection(spark, sf):
+    """Regions written as a FeatureCollection, one of them without a code, and read."""
+    from terrella.operators.snapshots import Store
+    from terrella.sources import geojson
+
+    ring = [[0, 0], [1, 0], [1, 1], [0, 0]]
+    found = [{"type": "Feature", "properties": {"ISO3166-2": r["iso"], "name": r["name"]}, "geometry": {"type": "Polygon", "coordinates": [[[x * len(r["name"]), y] for x, y in ring]]}} for r in region_names(spark, sf).collect()]  # 25 regions
+    root = scratch(spark)
+    Store(spark, root).write_text("regions.json", json.dumps({"type": "FeatureCollection", "features": [*found, {"type": "Feature", "properties": {"name": "x"}, "geometry": None}]}))
+    return geojson.regions(spark, f"{root}/regions.json").select("iso", "name", "country", "region_extent.xmax")
+
+
+@query("k1_theme_tree", f"SELECT *, CASE state_iso WHEN 'US-NY' THEN 'New York' ELSE 'Ontario' END AS state FROM ({_TREE})")
+def k1_theme_tree(spark, sf):
+    """A tree written, and read back by glob; the empty theme has no file and gives no rows."""
+    from terrella.sources import tables
+
+    root, out = built_tree(spark, sf), None
+    for name in _BUILT:
+        rows = tables.read_theme(spark, root, name).select(F.lit(name).alias("theme"), "state_iso", "osm_id", "state")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("s9_read_manifests", f"SELECT iso AS state_iso, t.theme, CAST(coalesce(n, 0) AS BIGINT) AS n FROM (SELECT unnest(['US-NY', 'CA-ON']) AS iso), (SELECT unnest(['pois', 'public_transport', 'places']) AS theme) t LEFT JOIN (SELECT state_iso, theme, count(*) AS n FROM ({_TREE}) GROUP BY 1, 2) c ON c.state_iso = iso AND c.theme = t.theme")
+def s9_read_manifests(spark, sf):
+    got = manifests.read_manifests(spark, built_tree(spark, sf))
+    return got.select(F.col("iso").alias("state_iso"), F.explode("themes").alias("theme", "n"))
+
+
+@query("s8_footers", f"SELECT state_iso, theme, count(*) AS rows, '2.0.0' AS geo_version, true AS has_base FROM ({_TREE}) GROUP BY 1, 2")
+def s8_footers(spark, sf):
+    root = built_tree(spark, sf)
+    files = snapshots.Store(spark, root).objects().filter(F.col("key").endswith(".parquet")).select("key", F.concat(F.lit(f"{root}/"), "key").alias("path"))
+    parts = X.parts_of(F.col("key"))
+    base = F.array(*[F.lit(c) for c in (*themes.BASE_FIRST, *themes.BASE_LAST)])
+    got = files.join(manifests.footers(files), "path")
+    return got.select(X.region_of_dir(F.element_at(parts, 2)).alias("state_iso"), F.regexp_replace(F.element_at(parts, 3), "[.]parquet$", "").alias("theme"), "rows", "geo_version", manifests.is_subset(base, F.col("columns")).alias("has_base"))
+
+
+@query("c6_check_tree", "SELECT * FROM (VALUES ('every region has a manifest', 1), ('every manifest lists the themes', 0), ('every theme was built', 0), ('every listed file is there', 1), ('row counts match', 0), ('base columns and metadata are there', 0)) t(\"check\", failures)")
+def c6_check_tree(spark, sf):
+    """A tree of which a file is lost, against a list with one region more than it has."""
+    from terrella.sources import tables
+
+    root = built_tree(spark, sf)
+    snapshots.Store(spark, root).delete(tables.url("", "US-NY", "pois").lstrip("/"))
+    expected = spark.createDataFrame([("US-NY",), ("CA-ON",), ("MX-XX",)], "iso string")
+    return manifests.check_tree(spark, root, expected, list(_BUILT)).select("check", F.col("failures").cast("int").alias("failures"))
+
+
+@query("c8_publish", f"WITH f AS (SELECT count(DISTINCT (state_iso, theme)) AS n FROM ({_TREE})) SELECT unnest(['2024-05-06', 'latest']) AS folder, n AS parquet_files, 2 AS manifests, true AS same FROM f UNION ALL SELECT 'root', 0, 0, true")
+def c8_publish(spark, sf):
+    """A build published to its dated folder and the mirror; the root holds the notice and an index that says the same."""
+    built, root = built_tree(spark, sf), scratch(spark)
+    store = snapshots.Store(spark, root)
+    snapshots.publish(spark, built, root, "2024-05-06")
+    said = snapshots.read_index(spark, f"{root}/snapshots.json").select(F.col("date").alias("folder"), F.col("bytes").alias("told"))
+    o = store.objects().withColumn("folder", F.when(F.col("key").contains("/"), F.substring_index("key", "/", 1)).otherwise("root"))
+    own = o.groupBy("folder").agg(F.count(F.when(F.col("key").endswith(".parquet"), 1)).alias("parquet_files"), F.count(F.when(F.col("key").endswith("_manifest.json"), 1)).cast("int").alias("manifests"), F.sum("size").alias("bytes"))
+    return own.join(said, "folder", "left").select("folder", "parquet_files", "manifests", F.coalesce(F.col("bytes") == F.col("told"), F.lit(True)).alias("same"))
+
+
+@query("c5_prune", f"SELECT DISTINCT strftime(day, '%Y-%m-%d') AS folder FROM (SELECT DISTINCT date_trunc('month', o_orderdate) AS m FROM orders), LATERAL (SELECT unnest([CAST(m AS DATE), CAST(m AS DATE) + 30]) AS day) WHERE {_VERDICT} = 'keep'")
+def c5_prune(spark, sf):
+    """The folders left of two for each month after those to delete went."""
+    month = F.date_trunc("month", "o_orderdate").cast("date")
+    days = table(spark, sf, "orders").select(month.alias("m")).distinct().select(F.explode(F.array("m", F.date_add("m", 30))).alias("day"))
+    root = scratch(spark)
+    store = snapshots.Store(spark, root)
+    for r in days.select(F.date_format("day", "yyyy-MM-dd").alias("name")).distinct().collect():  # two folders a month
+        store.write_text(f"{r['name']}/x.json", "{}")
+    snapshots.prune(spark, root, date(2001, 7, 20), execute=True)
+    return spark.createDataFrame([(x,) for x in store.folders()], "folder string")
+
+
+@query("s12_snapshot_index", "SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, strftime(o_orderdate, '%Y-%m-%d') || '/' AS path, count(*) AS objects, CAST(sum(o_custkey) AS BIGINT) AS bytes FROM orders GROUP BY 1, 2")
+def s12_snapshot_index(spark, sf):
+    """The index written, and read back."""
+    root = scratch(spark)
+    snapshots.Store(spark, root).write_text("snapshots.json", snapshots.index(dated_objects(spark, sf)))
+    return snapshots.read_index(spark, f"{root}/snapshots.json")
+
+
+@query("p13_not_null_on_join", "SELECT p_partkey, name FROM (SELECT p_partkey, CASE WHEN p_size % 3 > 0 THEN p_name END AS name FROM part) JOIN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 45) ON p_partkey = l_partkey WHERE name IS NOT NULL")
+def p13_not_null_on_join(spark, sf):
+    named = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 3 > 0, F.col("p_name")).alias("name")).filter(F.col("name").isNotNull())
+    return named.join(table(spark, sf, "lineitem").filter("l_quantity > 45"), F.col("p_partkey") == F.col("l_partkey"), "left_semi")
+
+
+@query("j7_unknown_names", "SELECT DISTINCT lower(c_mktsegment) AS name FROM customer")
+def j7_unknown_names(spark, sf):
+    """Segments asked for as themes: all unknown, and the error names them."""
+    asked = [r[0] for r in table(spark, sf, "customer").select(F.lower("c_mktsegment")).distinct().collect()]  # a few segments
+    try:
+        themes.choose(asked, list(themes.THEMES), "themes")
+    except ValueError as e:
+        return spark.createDataFrame([(x,) for x in str(e).partition(": ")[2].split(", ")], "name string")
+    raise AssertionError("no segment is a theme")
