@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all documents that its predecessor kept. All but the last
 return the columns of documents.
+
+Rules for odd rows, in every stage: an empty table gives an empty one; columns beyond those of documents pass
+through all stages but the last, whatever their names; very long texts are taken whole. Nulls, ties and repeated
+rows: see each stage.
 """
 
 from __future__ import annotations
@@ -16,7 +20,11 @@ from terrella.llm.common import small, staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others lose their host's boilerplate lines."""
+    """Rejected documents go; the others lose their host's boilerplate lines.
+
+    A null or empty text has under 20 words and goes. Rows with a null source are one host. Repeated rows are judged
+    alike, so all stay or all go.
+    """
     judged = quality.assess(docs, out="__quality", keep_text=True).filter("__quality.kept")
     changed = F.col("__quality.words_left") < F.col("__quality.n_words")
     fresh = {"text": F.col("__quality.text"), "n_chars": F.when(changed, F.length("__quality.text").cast("long")).otherwise(F.col("n_chars"))}
@@ -24,23 +32,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays."""
+    """Of each group of near copies the document with the least id stays.
+
+    Rows that repeat an id are one document and stay or go together; a row with a null id or without words stays.
+    Ids don't tie, so each group keeps one id.
+    """
     gone = staged(near_dedup.near_duplicates(docs).filter("not kept").select("doc_id").distinct())
     return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark."""
+    """Secrets are replaced by a mark; a null text stays null. Repeated rows and null ids are treated like any others."""
     return secrets.redacted(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; where a target ends inside of one, the words taken."""
+    """Each document as often as the mix takes it; where a target ends inside of one, the words taken. In slot order.
+
+    A text without words is never taken. A null source is a source. Repeated rows each have a place in their source;
+    ties in the order of a source are broken by id, size and the row's hashes.
+    """
     return mixing.mixed_documents(docs)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of each row, and hashes of the ids and of what they decode to."""
+    """Tokens of each row, and hashes of the ids and of what they decode to; a null text counts as empty."""
     import public_tokenizers
 
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
