@@ -136,3 +136,32 @@ def test_pipeline(spark, sf):
     assert alone.columns == docs.columns and {r.doc_id for r in alone.collect()} == want
     last = C.run(spark, sf).collect()
     assert {r.doc_id for r in last} <= want and all(r.n_tokens > 0 for r in last)
+
+
+def test_stages_on_odd_rows(spark, sf):
+    """Nulls everywhere, repeated rows, clashing names, empty tables: each stage against what its docstring says."""
+    import hashlib
+
+    import corpus_pipeline as C
+
+    body = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, body(1), "en", "a", 1), (1, body(1), "en", "a", 1), (2, body(1) + " f", None, "a", None), (3, None, None, None, None), (4, "", "en", None, 0), (None, body(5), "en", None, 3), (6, f"{body(6)} token=abcdefgh12 f", "en", "b", 3), (7, " ".join(f"v{i}" for i in range(60_000)), "en", "b", 3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, row string, size int, slot long"
+    docs = spark.createDataFrame([(*r, None, "x", 1, 2) for r in rows], schema)
+    ids = lambda df: sorted(r.doc_id or 0 for r in df.collect())
+    good = C.quality_rules(spark, docs, sf)
+    assert ids(good) == [0, 1, 1, 2, 6, 7] and good.columns == docs.columns
+    good = spark.createDataFrame(good.collect(), docs.schema)
+    alone = C.minhash_near_dedup(spark, good, sf)
+    assert ids(alone) == [0, 1, 1, 6, 7] and alone.columns == docs.columns
+    assert ids(C.minhash_near_dedup(spark, docs, sf)) == [0, 1, 1, 3, 4, 6, 7]
+    clean = C.secret_scan(spark, docs, sf)
+    got = {r.doc_id: r.text for r in clean.collect()}
+    assert got[6] == f"{body(6)} [SECRET] f" and got[3] is None and got[4] == "" and got[7] == rows[-1][1] and clean.columns == docs.columns
+    mixed = C.source_mix(spark, docs, sf)
+    assert mixed.columns == docs.columns and not {3, 4} & set(ids(mixed)) and set(ids(mixed)) <= {0, 1, 2, 6, 7}
+    last = {(r.doc_id or 0): r for r in C.bpe_tokens(spark, docs, sf).collect()}
+    assert last[3].n_tokens == last[4].n_tokens == 0 and last[2].decoded_sha256 == hashlib.sha256(rows[2][1].encode()).hexdigest()
+    none = docs.limit(0)
+    for name, stage in C.STAGES:
+        assert stage(spark, none, sf).collect() == [], name
