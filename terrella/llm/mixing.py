@@ -161,9 +161,9 @@ def taken(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK, length: str | None = "n_chars") -> DataFrame:
     """The documents of the mix, with df's columns: one row for each round in which the mix takes a document.
 
-    Rows stand in the order of the slot in which the round of the document begins. A document of which a round
-    takes all keeps its text; where a source's target ends inside a document, that round's row has the words
-    taken, joined by spaces.
+    The rows of each partition, a hash sample of the documents and so a mix of its own, stand in the order of the slot
+    in which the round of the document begins: texts move once. A document of which a round takes all keeps its text;
+    where a source's target ends inside a document, that round's row has the words taken, joined by spaces.
     """
     row = [F.xxhash64(F.lit(k), *[F.col(c) for c in df.columns]).alias(f"__extra_{k}") for k in (1, 2)]
     of = ("__extra_1", "__extra_2")
@@ -176,6 +176,6 @@ def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", sour
     whole = F.col("__n") == n_words(text)
     got = got.withColumn("__text", F.when(whole, F.col(text)).otherwise(F.array_join(F.slice(words, (F.col("__from") + 1).cast("int"), F.col("__n").cast("int")), " ")))
     place = ["__slot", "__epoch", "__start"]
-    got = got.repartitionByRange(*place).sortWithinPartitions(*place)
+    got = got.sortWithinPartitions(*place)
     fresh = {text: F.col("__text")} | ({length: F.length("__text").cast("long")} if length in df.columns else {})
     return got.select(*[fresh.get(c, F.col(c)).alias(c) for c in df.columns])

@@ -92,15 +92,16 @@ def test_mixed_documents_stand_in_slot_order(spark, sf):
     for r in mixing.mix(docs, block=64).select("doc_id", "epoch", "rank", "slot").collect():
         first[r.doc_id].append((r.epoch, r.rank, r.slot))
     slots = {i: [min(x for x in found if x[0] == e)[2] for e in sorted({x[0] for x in found})] for i, found in first.items()}
-    seen, at = Counter(), []
-    for r in mixing.mixed_documents(docs, block=64).collect():
-        at.append(sorted(slots[r.doc_id]))
+    seen, at = Counter(), defaultdict(list)
+    for r in mixing.mixed_documents(docs, block=64).withColumn("part", F.spark_partition_id()).collect():
+        at[r.part].append(sorted(slots[r.doc_id]))
         seen[r.doc_id] += 1
     assert all(seen[i] == len(x) for i, x in slots.items())
-    # Each row stands at one of its document's slots, and these rise.
-    low = -1
-    for x in at:
-        low = min(k for k in x if k >= low)
+    # Each row stands at one of its document's slots, and these rise in each partition.
+    for rows in at.values():
+        low = -1
+        for x in rows:
+            low = min(k for k in x if k >= low)
 
 
 def test_slots_come_from_the_points(spark, sf, monkeypatch):
