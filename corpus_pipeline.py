@@ -47,7 +47,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; where a target ends inside of one, the words taken. In slot order.
+    """Each document as often as the mix takes it; where a target ends inside of one, the words taken. Each file's rows
+    stand in slot order.
 
     A text without words is never taken. A null source is a source. Repeated rows each have a place in their source;
     ties in the order of a source are broken by id, size and the row's hashes.
