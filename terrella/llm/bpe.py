@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens whose ids are remembered by a worker at a time, and the longest remembered (characters).
-REMEMBERED, REMEMBERED_LENGTH = 500_000, 48
+from terrella.llm.workers import give_back
+
+#: Pieces that a worker may remember when the next ones are learned, and the longest remembered (characters).
+REMEMBERED, REMEMBERED_LENGTH = 300_000, 48
 
 #: Bytes of text whose new pre-tokens go through the queue together.
-TOGETHER = 24_000_000
+TOGETHER = 8_000_000
 
 #: The white space of Unicode, as the rank files' pattern means by \s.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -268,6 +270,9 @@ class Codec:
 
     def learn(self, texts: list[str | None]) -> None:
         """Put the short pre-tokens of texts that aren't remembered through the queue together."""
+        # Before and not after: what is forgotten once the new ones are known would be merged alone.
+        if len(self.pieces) + len(self.coarse) > REMEMBERED:
+            self.forget()
         seen: set[str] = set()
         for t in texts:
             if t:
@@ -278,14 +283,15 @@ class Codec:
         parts = {x for found in split for x in found if x not in self.pieces}
         whole = {x: self.ranks.get(x.encode()) for x in parts}
         merged = [x for x, r in whole.items() if r is None]
-        if len(self.pieces) + len(parts) > REMEMBERED or len(self.coarse) + len(new) > REMEMBERED:
-            self.pieces.clear()
-            self.coarse.clear()
         self.pieces.update((x, (r,)) for x, r in whole.items() if r is not None)
         self.pieces.update((x, tuple(ids)) for x, ids in zip(merged, self.merge_many([x.encode() for x in merged])))
         for p, found in zip(new, split):
             self.coarse[p] = self.pieces[found[0]] if len(found) == 1 else tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.coarse.clear()
+
     def _encode_coarse(self, piece: str) -> tuple[int, ...]:
         found = self.split(piece)
         if len(found) == 1:
@@ -318,15 +324,22 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def _learned(c: Codec, batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple[pa.Array, list]]:
-    """Keys and texts in small slices; before that, the codec has learned the pre-tokens of some MB of them."""
-    for batch in batches:
-        size = batch.num_rows and max(1, min(batch.num_rows, batch.num_rows * TOGETHER // max(1, batch.nbytes)))
-        for start in range(0, batch.num_rows, size or 1):
-            part = batch.slice(start, size)
-            texts = part.column(1)
-            c.learn([t.as_py() for t in texts])
-            for at in range(0, part.num_rows, rows):
-                yield part.column(0).slice(at, rows), texts.slice(at, rows).to_pylist()
+    """Keys and texts in small slices; before that, the codec has learned the pre-tokens of some MB of them.
+
+    Workers outlive tasks, so at its end a task gives back the memory that it took.
+    """
+    try:
+        for batch in batches:
+            size = batch.num_rows and max(1, min(batch.num_rows, batch.num_rows * TOGETHER // max(1, batch.nbytes)))
+            for start in range(0, batch.num_rows, size or 1):
+                part = batch.slice(start, size)
+                texts = part.column(1)
+                c.learn([t.as_py() for t in texts])
+                for at in range(0, part.num_rows, rows):
+                    yield part.column(0).slice(at, rows), texts.slice(at, rows).to_pylist()
+    finally:
+        c.forget()
+        give_back()
 
 
 def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
