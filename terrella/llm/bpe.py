@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from terrella.llm.workers import give_back
 
 #: Pieces that a worker may remember when the next ones are learned, and the longest remembered (characters).
-REMEMBERED, REMEMBERED_LENGTH = 300_000, 48
+REMEMBERED, REMEMBERED_LENGTH = 600_000, 48
 
 #: Bytes of text whose new pre-tokens go through the queue together.
 TOGETHER = 8_000_000
@@ -272,7 +272,8 @@ class Codec:
         """Put the short pre-tokens of texts that aren't remembered through the queue together."""
         # Before and not after: what is forgotten once the new ones are known would be merged alone.
         if len(self.pieces) + len(self.coarse) > REMEMBERED:
-            self.forget()
+            self.pieces.clear()
+            self.coarse.clear()
         seen: set[str] = set()
         for t in texts:
             if t:
@@ -288,10 +289,6 @@ class Codec:
         for p, found in zip(new, split):
             self.coarse[p] = self.pieces[found[0]] if len(found) == 1 else tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
 
-    def forget(self) -> None:
-        self.pieces.clear()
-        self.coarse.clear()
-
     def _encode_coarse(self, piece: str) -> tuple[int, ...]:
         found = self.split(piece)
         if len(found) == 1:
@@ -326,7 +323,7 @@ def codec(path: str, pattern: str) -> Codec:
 def _learned(c: Codec, batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple[pa.Array, list]]:
     """Keys and texts in small slices; before that, the codec has learned the pre-tokens of some MB of them.
 
-    Workers outlive tasks, so at its end a task gives back the memory that it took.
+    Workers outlive tasks, so at its end a task gives back the memory that it took but for what is remembered.
     """
     try:
         for batch in batches:
@@ -338,7 +335,6 @@ def _learned(c: Codec, batches: Iterator[pa.RecordBatch], rows: int = 256) -> It
                 for at in range(0, part.num_rows, rows):
                     yield part.column(0).slice(at, rows), texts.slice(at, rows).to_pylist()
     finally:
-        c.forget()
         give_back()
 
 
