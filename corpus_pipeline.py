@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from terrella.llm import bpe, mixing, near_dedup, quality, secrets
 from terrella.llm.common import small, staged, table
 
+#: Words of a shingle in the near-dedup stage; two words are the query op8's.
+SHINGLE_WORDS = 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose their host's boilerplate lines.
@@ -32,12 +35,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays.
+    """Of each group of near copies, by shingles of five words, the document with the least id stays.
 
-    Rows that repeat an id are one document and stay or go together; a row with a null id or without words stays.
-    Ids don't tie, so each group keeps one id.
+    A text of fewer words is one shingle. Rows that repeat an id are one document and stay or go together; a row with
+    a null id or without words stays. Ids don't tie, so each group keeps one id.
     """
-    gone = staged(near_dedup.near_duplicates(docs).filter("not kept").select("doc_id").distinct())
+    gone = staged(near_dedup.near_duplicates(docs, width=SHINGLE_WORDS).filter("not kept").select("doc_id").distinct())
     return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
