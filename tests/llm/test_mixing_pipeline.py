@@ -133,7 +133,7 @@ def test_pipeline(spark, sf):
     alone = C.minhash_near_dedup(spark, kept, sf)
     from tests.llm.test_near_dedup import plain
 
-    want = {i for i, (_, c) in plain([(r.doc_id, r.text) for r in kept.collect()]).items() if c == i}
+    want = {i for i, (_, c) in plain([(r.doc_id, r.text) for r in kept.collect()], C.SHINGLE_WORDS).items() if c == i}
     assert alone.columns == docs.columns and {r.doc_id for r in alone.collect()} == want
     last = C.run(spark, sf).collect()
     assert {r.doc_id for r in last} <= want and all(r.n_tokens > 0 for r in last)

@@ -13,9 +13,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
-def shingles(text):
+def shingles(text, width=2):
     w = WORD.findall((text or "").translate(LOWER))
-    return set(zip(w, w[1:])) if len(w) > 1 else {tuple(w)} if w else set()
+    return {tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set()
 
 
 def least(pairs, nodes):
@@ -32,8 +32,8 @@ def least(pairs, nodes):
     return {n: top(n) for n in nodes}
 
 
-def plain(rows):
-    sets = {i: shingles(t) for i, t in rows}
+def plain(rows, width=2):
+    sets = {i: shingles(t, width) for i, t in rows}
     ids = sorted(sets)
     pairs = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     c = least(pairs, ids)
@@ -53,15 +53,16 @@ def corpus(seed=2):
     return list(enumerate(out))
 
 
+@pytest.mark.parametrize("width", [2, 5])
 @pytest.mark.parametrize("bucket, cluster, leaders, blocked", [(512, 256, 8, 1024), (2, 2, 1, 3)])
-def test_components_equal_all_pairs(spark, monkeypatch, bucket, cluster, leaders, blocked):
+def test_components_equal_all_pairs(spark, monkeypatch, bucket, cluster, leaders, blocked, width):
     monkeypatch.setattr(N, "BLOCKED", blocked)
     monkeypatch.setattr(N, "BUCKET", bucket)
     monkeypatch.setattr(N, "CLUSTER", cluster)
     monkeypatch.setattr(N, "LEADERS", leaders)
     rows = corpus()
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == plain(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=width).collect()}
+    assert got == plain(rows, width)
 
 
 def test_cluster_without_a_main_component(spark, monkeypatch):
