@@ -9,10 +9,12 @@ from __future__ import annotations
 import json
 import math
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,28 +133,30 @@ def side_of_edges(edges: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray
     return out
 
 
-def cover(data: bytes, step: float, fine: bool) -> tuple[list[int], list[int], list[bytes | None]]:
+def cells(data: bytes, step: float, fine: bool) -> Iterator[tuple[int, int, bytes | None]]:
     """Cells of a grid that a polygon has points in, each with what decides there: null in cells that lie inside, else
-    the edges at the cell's height and not left of it. Without fine, all cells of the polygon's box, with all edges."""
+    the edges at the cell's height and not left of it. Without fine, all cells of the polygon's box, with all edges. A
+    polygon with a coordinate that is no finite number has no points."""
     e = _segments(data)
-    if not len(e):
-        return [], [], []
+    if not len(e) or not np.isfinite(e).all():
+        return
     low_x, high_x, low_y, high_y = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2]), np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
     columns, rows = (range(math.floor(a.min() / step), math.floor(b.max() / step) + 1) for a, b in ((low_x, high_x), (low_y, high_y)))
-    cx, cy, edges = [], [], []
     for r in rows:
         here = slice(None) if not fine else np.flatnonzero((high_y >= r * step) & (low_y <= (r + 1) * step))
         band = e[here]
         for c in columns:
             if fine and not _touches(band, c * step, r * step, (c + 1) * step, (r + 1) * step):
-                if side_of_edges(band, np.array([(c + 0.5) * step]), np.array([(r + 0.5) * step]))[0] < 0:
-                    continue
-                edges.append(None)
+                if side_of_edges(band, np.array([(c + 0.5) * step]), np.array([(r + 0.5) * step]))[0] >= 0:
+                    yield c, r, None
             else:
-                edges.append((band[high_x[here] >= c * step] if fine else band).tobytes())
-            cx.append(c)
-            cy.append(r)
-    return cx, cy, edges
+                yield c, r, (band[high_x[here] >= c * step] if fine else band).tobytes()
+
+
+def cover(data: bytes, step: float, fine: bool) -> tuple[list[int], list[int], list[bytes | None]]:
+    """cells() as three lists."""
+    cx, cy, edges = zip(*found) if (found := list(cells(data, step, fine))) else ((), (), ())
+    return list(cx), list(cy), list(edges)
 
 
 def contains_points(data: bytes, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -242,15 +246,55 @@ def st_contains(geometry: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-#: Cells as three arrays of one length.
-_CELLS = T.StructType([T.StructField("cx", T.ArrayType(T.LongType())), T.StructField("cy", T.ArrayType(T.LongType())), T.StructField("edges", T.ArrayType(T.BinaryType()))])
+def with_cells(df: DataFrame, geometry: str, level: str, fine: str, names: list[str], most: int = 2_000_000) -> DataFrame:
+    """Each row once for each of its polygon's cells() on the grid whose cells are 2**level wide, as three columns names
+    in place of the geometry. Rows go out when their edges come to most bytes, so the memory is bounded by it and one row."""
+    keep = [f for f in df.schema.fields if f.name != geometry]
+    schema = T.StructType([*keep, *[T.StructField(n, t()) for n, t in zip(names, (T.LongType, T.LongType, T.BinaryType))]])
+
+    return df.mapInArrow(lambda batches: cell_batches(batches, geometry, level, fine, names, most), schema)
 
 
-@F.pandas_udf(_CELLS)
-def cells_of(geometry: pd.Series, level: pd.Series, fine: pd.Series) -> pd.DataFrame:
-    """cover() on the grid whose cells are 2**level wide."""
-    got = [([], [], []) if g is None else cover(g, 2.0 ** int(k), bool(f)) for g, k, f in zip(geometry, level, fine)]
-    return pd.DataFrame(got, columns=["cx", "cy", "edges"])
+def cell_batches(batches: Iterator[pa.RecordBatch], geometry: str, level: str, fine: str, names: list[str], most: int) -> Iterator[pa.RecordBatch]:
+    """What with_cells() does, in a worker."""
+    for batch in batches:
+        rest = batch.select([n for n in batch.schema.names if n != geometry])
+        row, steps, fines = rest.nbytes // max(1, rest.num_rows) + 24, batch.column(level), batch.column(fine)
+        at, found, size = [], [], 0
+        for i, g in enumerate(batch.column(geometry)):
+            for cell in cells(g.as_py(), 2.0 ** steps[i].as_py(), fines[i].as_py()) if g.is_valid else ():
+                at.append(i)
+                found.append(cell)
+                size += row + len(cell[2] or b"")
+                if size >= most:
+                    yield _rows(rest, at, found, names)
+                    at, found, size = [], [], 0
+        if at:
+            yield _rows(rest, at, found, names)
+
+
+def _rows(rest: pa.RecordBatch, at: list[int], found: list[tuple], names: list[str]) -> pa.RecordBatch:
+    taken = rest.take(pa.array(at, pa.int64()))
+    added = [pa.array(list(x), t) for x, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.binary()))]
+    return pa.RecordBatch.from_arrays([*taken.columns, *added], [*taken.schema.names, *names])
+
+
+@F.pandas_udf(T.BooleanType())
+def is_box(geometry: pd.Series, x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
+    """Whether a geometry is just this box: one ring round four finite corners, either way and from any of them."""
+
+    def one(g, a, b, c, d) -> bool:
+        if g is None or len(g) != 93 or g[1] & 0xFF != KINDS["Polygon"] or not all(map(math.isfinite, (a, b, c, d))):
+            return False
+        ring = [tuple(p) for p in from_wkb(g)[1][0].tolist()]
+        corners = [(a, b), (c, b), (c, d), (a, d)]
+        if ring[0] != ring[-1] or ring[0] not in corners:
+            return False
+        k = corners.index(ring[0])
+        turned = [*corners[k:], *corners[:k]]
+        return ring[1:4] in (turned[1:], turned[:0:-1])
+
+    return pd.Series([one(*v) for v in zip(geometry, x1, y1, x2, y2)], dtype=bool)
 
 
 @F.pandas_udf(T.BooleanType())

@@ -3,8 +3,9 @@
 A polygon join never compares all pairs. Both sides are laid on a grid and joined on the cell. A small polygon
 goes to a grid whose cells are about as large as its own box; a wide one to a grid 16 times as fine, where cells
 inside of it need no test and cells on its border carry only the edges that decide there, so no candidate carries a
-whole geometry. A point goes to one cell of each grid in use, of which there are a few dozen at most. The cells of
-wide polygons are salted, as many points may lie in one.
+whole geometry. A polygon that is just its box needs no edges: it goes to a coarse grid, and comparisons decide. A point
+goes to one cell of each grid in use, of which there are a few dozen at most. The cells of wide polygons are salted, as
+many points may lie in one.
 """
 
 from __future__ import annotations
@@ -54,8 +55,8 @@ def with_hilbert_key(df: DataFrame, by: list[str], box: str = "extent", out: str
 #: Grid levels: cells of 2**level units; a small polygon covers 3 x 3 cells of its level at most.
 _LEAST, _MOST = -40, 20
 
-#: Units from which a polygon is wide; levels by which its cells are finer; salts of a cell of it.
-WIDE, FINER, SALTS = 0.5, 4, 8
+#: Units from which a polygon is wide; levels by which its cells are finer, and by which a box's are; salts of a cell of it.
+WIDE, FINER, BOX_FINER, SALTS = 0.5, 4, 1, 8
 
 
 def _level(width: Column) -> Column:
@@ -70,24 +71,38 @@ def join_containing(polygons: DataFrame, points: DataFrame, geometry: str = "geo
     """Pairs of polygon and point where the polygon contains the point; columns of both sides, less the geometry.
 
     polygons: with WKB and a double box. A point lies in one cell of a grid, so no pair comes twice. Parts of a
-    multipolygon don't overlap.
+    multipolygon don't overlap. A geometry that is null, has no box or a coordinate that is no finite number contains
+    nothing.
     """
     b = F.col(box)
     width = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
-    wide = width >= WIDE
-    p = polygons.withColumns({"__wide": wide, "__level": _level(width) - F.when(wide, FINER).otherwise(0)})
-    p = p.withColumn("__cells", G.cells_of(F.col(geometry), F.col("__level"), F.col("__wide"))).drop(geometry)
+    known = F.col(geometry).isNotNull() & b["xmin"].isNotNull() & b["ymin"].isNotNull() & b["xmax"].isNotNull() & b["ymax"].isNotNull()
+    p = polygons.filter(known).withColumns({"__wide": width >= WIDE, "__box": G.is_box(geometry, *[b[c] for c in ("xmin", "ymin", "xmax", "ymax")])})
+    p = p.withColumn("__level", _level(width) - F.when(F.col("__wide"), F.when(F.col("__box"), BOX_FINER).otherwise(FINER)).otherwise(0))
+    boxes, others = p.filter("__box").drop(geometry, "__box"), p.filter("not __box").drop("__box")
+
+    step = F.pow(F.lit(2.0), F.col("__level"))
+    for cell, low, high in (("__cx", "xmin", "xmax"), ("__cy", "ymin", "ymax")):
+        boxes = boxes.withColumn(cell, F.explode(F.sequence(F.floor(b[low] / step), F.floor(b[high] / step))))
+    in_box = (F.col(x) > b["xmin"]) & (F.col(x) < b["xmax"]) & (F.col(y) > b["ymin"]) & (F.col(y) < b["ymax"])
+    settled = _join_cells(boxes, points, p.filter("__box"), x, y).filter(in_box)
+
+    others = G.with_cells(others, geometry, "__level", "__wide", ["__cx", "__cy", "__edges"])
+    in_box = (F.col(x) >= b["xmin"]) & (F.col(x) <= b["xmax"]) & (F.col(y) >= b["ymin"]) & (F.col(y) <= b["ymax"])
+    tested = _join_cells(others, points, p.filter("not __box"), x, y).filter(in_box).filter(G.st_within_edges(F.col("__edges"), F.col(x), F.col(y)))
+    return settled.unionByName(tested.drop("__edges"))
+
+
+def _join_cells(cells: DataFrame, points: DataFrame, polygons: DataFrame, x: str, y: str) -> DataFrame:
+    """Pairs of a polygon and the points in its cells. polygons: tell which grids are in use."""
     salts = F.when(F.col("__wide"), SALTS).otherwise(1)
-    p = p.withColumn("__cell", F.explode(F.arrays_zip("__cells.cx", "__cells.cy", "__cells.edges"))).drop("__cells")
-    p = p.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumns({"__cx": F.col("__cell.cx"), "__cy": F.col("__cell.cy"), "__edges": F.col("__cell.edges")}).drop("__cell")
-    grids = polygons.select(wide.alias("__wide"), (_level(width) - F.when(wide, FINER).otherwise(0)).alias("__level")).distinct()  # twice _MOST - _LEAST + 1 rows at most
+    p = cells.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    grids = polygons.select("__wide", "__level").distinct()  # twice _MOST - _LEAST + 1 rows at most
     q = points.crossJoin(F.broadcast(grids)).withColumn("__cx", _cell(F.col(x), F.col("__level"))).withColumn("__cy", _cell(F.col(y), F.col("__level")))
     plain = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     q = q.withColumn("__salt", F.pmod(F.xxhash64(*plain), salts).cast("int"))
-    in_box = (F.col(x) >= b["xmin"]) & (F.col(x) <= b["xmax"]) & (F.col(y) >= b["ymin"]) & (F.col(y) <= b["ymax"])
     by = ["__wide", "__level", "__cx", "__cy", "__salt"]
-    joined = p.join(q, by).filter(in_box).filter(G.st_within_edges(F.col("__edges"), F.col(x), F.col(y)))
-    return joined.drop(*by, "__edges")
+    return p.join(q, by).drop(*by)
 
 
 def clip_to_regions(points: DataFrame, regions: DataFrame, geometry: str = "region_geometry", box: str = "region_extent", x: str = "x", y: str = "y") -> DataFrame:

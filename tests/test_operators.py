@@ -237,3 +237,34 @@ def test_wide_polygons_by_cells_equal_the_whole_test(spark):
     assert "geometry" not in plan[: plan.index("Join")]
     cx, cy, edges = G.cover(shapes[4], 1.0, True)
     assert sum(e is None for e in edges) == 14 * 14 and max(len(e) for e in edges if e) <= 4 * 32
+
+
+def test_boxes_join_without_edges_or_python_cells(spark):
+    ring = [(0.0, 0.0), (6.0, 0.0), (6.0, 4.0), (0.0, 4.0)]
+    turned = [[*r[k:], *r[:k], r[k]] for r in (ring, ring[::-1]) for k in range(4)]
+    nan, inf = float("nan"), float("inf")
+    others = [[(0, 0), (6, 0), (0, 4), (6, 4), (0, 0)], [(0, 0), (6, 0), (6, 4), (0, 0), (0, 0)], [(nan, 0), (6, 0), (6, 4), (nan, 4), (nan, 0)], [(0, 0), (inf, 0), (inf, 4), (0, 4), (0, 0)]]
+    shapes = [G.to_wkb("Polygon", [r]) for r in [*turned, *others]]
+    rows = [(k, bytearray(g), (0.0, 0.0, 6.0, 4.0)) for k, g in enumerate(shapes)] + [(50, None, (0.0, 0.0, 6.0, 4.0)), (51, bytearray(shapes[0]), (0.0, 0.0, 7.0, 4.0)), (52, bytearray(shapes[0]), None)]
+    p = spark.createDataFrame(rows, "box_id int, geometry binary, extent struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    points = [(0, 1.0, 1.0), (1, 0.0, 2.0), (2, 6.0, 4.0), (3, 5.5, 3.9), (4, 3.0, 0.5), (5, nan, 1.0), (6, inf, 1.0), (7, None, 1.0), (8, -1.0, 1.0)]
+    q = spark.createDataFrame(points, "point_id int, x double, y double")
+    boxed = p.select("box_id", G.is_box("geometry", *[f"extent.{c}" for c in ("xmin", "ymin", "xmax", "ymax")]).alias("is"))
+    assert sorted(r.box_id for r in boxed.filter("is").collect()) == list(range(8))
+    got = sorted((a.box_id, a.point_id) for a in spatial.join_containing(p, q).collect())
+    x, y = np.array([a[1] if a[1] is not None else nan for a in points]), np.array([a[2] for a in points])
+    finite = [(k, g) for k, g in enumerate(shapes) if k < 10] + [(51, shapes[0])]
+    assert got == sorted((k, i) for k, g in finite for i in np.flatnonzero(G.contains_points(g, x, y)))
+
+
+def test_cells_leave_the_worker_in_bounded_batches(spark):
+    ring = [(8 * np.cos(a), 8 * np.sin(a)) for a in np.linspace(0, 2 * np.pi, 200)]
+    g = G.to_wkb("Polygon", [[*ring[:-1], ring[0]]])
+    d = spark.createDataFrame([(k, bytearray(g), 0, True) for k in range(20)], "i int, geometry binary, level int, fine boolean").coalesce(1)
+    cx, cy, edges = G.cover(g, 1.0, True)
+    got = G.with_cells(d, "geometry", "level", "fine", ["cx", "cy", "edges"], 20_000).groupBy("cx", "cy", "edges").count().collect()
+    key = lambda r: (r[0], r[1])
+    assert sorted(((r.cx, r.cy, r.edges and bytes(r.edges), r["count"]) for r in got), key=key) == sorted(((a, b, e, 20) for a, b, e in zip(cx, cy, edges)), key=key)
+    batches = list(G.cell_batches(iter(d.toArrow().to_batches()), "geometry", "level", "fine", ["cx", "cy", "edges"], 20_000))
+    assert sum(b.num_rows for b in batches) == 20 * len(cx) and len(batches) > 20
+    assert max(b.nbytes for b in batches) < 20_000 + 200 * 32 + 1_000
