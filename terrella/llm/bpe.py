@@ -11,6 +11,10 @@ new pre-tokens of a batch stand in the same arrays, a bucket holds positions fro
 step takes the leftmost valid position of each pre-token. As pre-tokens don't touch, that merges each in
 its own order.
 
+A text is split once, into coarse pieces, each of which gets a number; what is wanted of a text (its ids, their
+decimals, what they decode to) is then put together from what its numbers stand for. Encoding and decoding go
+through ids in either case; they are done once for each piece that is remembered.
+
 Rules for odd rows: a null text counts as empty and has no tokens; repeated rows each get their own
 result; columns other than the two that are named are not read, so clashing names do no harm.
 """
@@ -20,7 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import chain
 
@@ -32,7 +36,10 @@ from pyspark.sql import functions as F
 from terrella.llm.workers import give_back
 
 #: Pieces that a worker may remember when the next ones are learned, and the longest remembered (characters).
-REMEMBERED, REMEMBERED_LENGTH = 600_000, 48
+REMEMBERED, REMEMBERED_LENGTH = 400_000, 48
+
+#: Bytes up to which new pre-tokens go through the queue one at a time.
+ALONE = 200
 
 #: Bytes of text whose new pre-tokens go through the queue together.
 TOGETHER = 8_000_000
@@ -108,20 +115,21 @@ class RankQueue:
         return position
 
 
-class _Remembered(dict):
-    """Ids by piece; forgets all when full, so its memory is bounded."""
+class _Numbers(dict):
+    """Numbers of coarse pieces: from 0 those that are remembered, from -1 downwards the long ones of a batch."""
 
-    def __init__(self, make):
+    def __init__(self):
         super().__init__()
-        self.make = make
+        self.new: list[str] = []
+        self.long: list[str] = []
 
-    def __missing__(self, piece: str):
-        ids = self.make(piece)
-        if len(piece) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def __missing__(self, piece: str) -> int:
+        if len(piece) > REMEMBERED_LENGTH:
+            self.long.append(piece)
+            return -len(self.long)
+        self.new.append(piece)
+        self[piece] = n = len(self)
+        return n
 
 
 class Codec:
@@ -146,15 +154,18 @@ class Codec:
         self.at_key = np.array([self.merges[k] for k in self.keys.tolist()], np.int64)
         # White space is spelled out, as \s differs from library to library.
         self.split = regex.compile(pattern.replace("[^\\s", f"[^{WHITE}").replace("\\s", f"[{WHITE}]").replace("\\S", f"[^{WHITE}]")).findall
-        self.pieces = _Remembered(self.encode_piece)
-        self.coarse = _Remembered(self._encode_coarse)
-        self.decimal = {r: str(r) for r in self.bytes_of}
-
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
-        """The ids of one pre-token."""
-        data = piece.encode()
-        rank = self.ranks.get(data)
-        return (rank,) if rank is not None else tuple(self.merge(data))
+        self.decimal = {r: b"%d" % r for r in self.bytes_of}
+        self.bytes_in, self.digits_in = np.zeros(self.wide, np.int64), np.zeros(self.wide, np.int64)
+        for r, t in self.bytes_of.items():
+            self.bytes_in[r], self.digits_in[r] = len(t), len(self.decimal[r])
+        self.of_bytes = np.array(self.single, np.int64)
+        self.byte_pairs = self._ranks(np.repeat(self.of_bytes, 256), np.tile(self.of_bytes, 256))
+        self._forget(())
+
+    def _forget(self, wanted: tuple[str, ...]) -> None:
+        """Nothing is remembered, and of what comes wanted will be: for each of it, a list by number."""
+        self.numbers = _Numbers()
+        self.made: dict[str, list] = {w: [] for w in wanted}
 
     def merge(self, data: bytes) -> list[int]:
         """All merges of one pre-token, lowest rank first and leftmost among equals."""
@@ -210,10 +221,17 @@ class Codec:
         """What merge() gives for each of many pre-tokens, all of them non-empty."""
         if not pieces:
             return []
+        ids, counts = self._merge_together(pieces)
+        ids, ends = ids.tolist(), counts.cumsum().tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _merge_together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All their ids, and how many each has."""
         queue = self.queue
         sizes = np.array([len(p) for p in pieces])
         ends = np.cumsum(sizes)
-        token = np.array(self.single, np.int64)[np.frombuffer(b"".join(pieces), np.uint8)]
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        token = self.of_bytes[data]
         n = len(token)
         of = np.repeat(np.arange(len(pieces)), sizes)
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
@@ -221,7 +239,7 @@ class Codec:
         before[ends - sizes] = -1
         pair = np.full(n, -1, np.int64)
         inner = np.flatnonzero(after >= 0)
-        pair[inner] = self._ranks(token[inner], token[inner + 1])
+        pair[inner] = self.byte_pairs[data[inner].astype(np.int64) * 256 + data[inner + 1]]
         self._push_grouped(pair[inner], inner)
         while (rank := queue.first()) >= 0:
             i = queue.take_all(rank)
@@ -253,9 +271,7 @@ class Codec:
             pair[at] = new
             self._push_grouped(new[changed], at[changed])
         live = token >= 0
-        counts = np.add.reduceat(live, ends - sizes).cumsum().tolist()
-        ids = token[live].tolist()
-        return [ids[a:b] for a, b in zip([0, *counts], counts)]
+        return token[live], np.add.reduceat(live, ends - sizes, dtype=np.int64)
 
     def _push_grouped(self, rank: np.ndarray, position: np.ndarray) -> None:
         valid = rank >= 0
@@ -268,47 +284,94 @@ class Codec:
         for r, a, b in zip(rank[starts].tolist(), starts, [*starts[1:], len(rank)]):
             self.queue.push_all(r, np.sort(position[a:b]) if b - a > 1 else position[a:b])
 
-    def learn(self, texts: list[str | None]) -> None:
-        """Put the short pre-tokens of texts that aren't remembered through the queue together."""
+    def learn(self, texts: Iterable[str | None], wanted: tuple[str, ...] = ("ids",)) -> list[list[int]]:
+        """The numbers of each text's coarse pieces, good until the next call; new pieces go through the queue together."""
         # Before and not after: what is forgotten once the new ones are known would be merged alone.
-        if len(self.pieces) + len(self.coarse) > REMEMBERED:
-            self.pieces.clear()
-            self.coarse.clear()
-        seen: set[str] = set()
-        for t in texts:
-            if t:
-                seen.update(COARSE.findall(t))
-        new = [p for p in seen if p not in self.coarse and len(p) <= REMEMBERED_LENGTH]
-        del seen
-        split = [self.split(p) for p in new]
-        parts = {x for found in split for x in found if x not in self.pieces}
-        whole = {x: self.ranks.get(x.encode()) for x in parts}
-        merged = [x for x, r in whole.items() if r is None]
-        self.pieces.update((x, (r,)) for x, r in whole.items() if r is not None)
-        self.pieces.update((x, tuple(ids)) for x, ids in zip(merged, self.merge_many([x.encode() for x in merged])))
-        for p, found in zip(new, split):
-            self.coarse[p] = self.pieces[found[0]] if len(found) == 1 else tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
-
-    def _encode_coarse(self, piece: str) -> tuple[int, ...]:
-        found = self.split(piece)
-        if len(found) == 1:
-            return self.pieces[found[0]]
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
+        if tuple(self.made) != wanted or len(self.numbers) > REMEMBERED:
+            self._forget(wanted)
+        self.drop_long()
+        numbers = self.numbers
+        number = numbers.__getitem__
+        found = [list(map(number, COARSE.findall(t))) if t else [] for t in texts]
+        new, long, numbers.new = numbers.new, numbers.long, []
+        if new or long:
+            self._make([*new, *reversed(long)])  # the last stand at -1
+        return found
+
+    def drop_long(self) -> None:
+        """The pieces that are too long to be remembered go."""
+        for values in self.made.values():
+            del values[len(self.numbers) :]
+        self.numbers.long = []
+
+    def _make(self, pieces: list[str]) -> None:
+        """Add to each list what is wanted of coarse pieces."""
+        split = list(map(self.split, pieces))
+        parts = list(set(chain.from_iterable(split)))
+        data = list(map(str.encode, parts))
+        rank = list(map(self.ranks.get, data))
+        short = [k for k, r in enumerate(rank) if r is None and len(parts[k]) <= REMEMBERED_LENGTH]
+        alone = [k for k, r in enumerate(rank) if r is None and len(parts[k]) > REMEMBERED_LENGTH]
+        if sum(len(data[k]) for k in short) <= ALONE:
+            short, alone = [], [*short, *alone]
+        merged = [self.merge(data[k]) for k in alone]
+        ids, counts = np.array([i for x in merged for i in x], np.int64), np.array([len(x) for x in merged], np.int64)
+        if short:
+            more = self._merge_together([data[k] for k in short])
+            ids, counts = np.concatenate((ids, more[0])), np.concatenate((counts, more[1]))
+        which = [*alone, *short]
+        for name, values in self.made.items():
+            of, made = self._values(name, rank, ids, counts)
+            for k, v in zip(which, made):
+                of[k] = v
+            of = dict(zip(parts, of))
+            if name == "ids":
+                values.extend([of[x[0]] if len(x) == 1 else tuple(chain.from_iterable(map(of.__getitem__, x))) for x in split])
+            else:
+                joined = b"," if name == "listed" else b""
+                values.extend([of[x[0]] if len(x) == 1 else joined.join(map(of.__getitem__, x)) for x in split])
+
+    def _values(self, name: str, rank: list[int | None], ids: np.ndarray, counts: np.ndarray) -> tuple[list, list]:
+        """What is wanted of pre-tokens that are tokens (null: of others), and of those that have so many of the ids each."""
+        if not len(ids):
+            cut = np.zeros(1, np.int64)
+        elif name == "ids":
+            cut = np.concatenate(([0], counts.cumsum()))
+        else:
+            size = self.digits_in[ids] + 1 if name == "listed" else self.bytes_in[ids]
+            cut = np.concatenate(([0], np.concatenate(([0], size.cumsum()))[counts.cumsum()]))
+        ids, cut = ids.tolist(), cut.tolist()
+        if name == "ids":
+            return [None if r is None else (r,) for r in rank], [tuple(ids[a:b]) for a, b in zip(cut, cut[1:])]
+        if name == "listed":
+            whole = b",".join(map(self.decimal.__getitem__, ids))
+            return list(map(self.decimal.get, rank)), [whole[a : b - 1] for a, b in zip(cut, cut[1:])]
+        whole = self.decode(ids)
+        return list(map(self.bytes_of.get, rank)), [whole[a:b] for a, b in zip(cut, cut[1:])]
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        return list(chain.from_iterable(map(self.coarse.__getitem__, COARSE.findall(text))))
+        return self.ids_of(self.learn([text])[0])
+
+    def ids_of(self, numbers: list[int]) -> list[int]:
+        """For numbers that learn() gave for ids."""
+        return list(chain.from_iterable(map(self.made["ids"].__getitem__, numbers)))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Tokens, the hash of the ids' decimals joined by commas, and the hash of what they decode to."""
-        ids = self.encode(text)
-        listed = ",".join(map(self.decimal.__getitem__, ids)).encode()
-        return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
+        return self.digest_of(self.learn([text], DIGEST)[0])
+
+    def digest_of(self, numbers: list[int]) -> tuple[int, str, str]:
+        """The same for numbers that learn() gave for DIGEST."""
+        listed = b",".join(map(self.made["listed"].__getitem__, numbers))
+        decoded = b"".join(map(self.made["decoded"].__getitem__, numbers))
+        return listed.count(b",") + 1 if listed else 0, hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
 
+#: What digest() is made from.
+DIGEST = ("listed", "decoded")
 
 _codecs: dict[tuple[str, str], Codec] = {}
 
@@ -320,8 +383,8 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
-def _learned(c: Codec, batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple[pa.Array, list]]:
-    """Keys and texts in small slices; before that, the codec has learned the pre-tokens of some MB of them.
+def _learned(c: Codec, batches: Iterator[pa.RecordBatch], wanted: tuple[str, ...], rows: int = 256) -> Iterator[tuple[pa.Array, list[list[int]]]]:
+    """Keys and the numbers of texts in small slices; before that, the codec has learned the pieces of some MB of them.
 
     Workers outlive tasks, so at its end a task gives back the memory that it took but for what is remembered.
     """
@@ -330,11 +393,11 @@ def _learned(c: Codec, batches: Iterator[pa.RecordBatch], rows: int = 256) -> It
             size = batch.num_rows and max(1, min(batch.num_rows, batch.num_rows * TOGETHER // max(1, batch.nbytes)))
             for start in range(0, batch.num_rows, size or 1):
                 part = batch.slice(start, size)
-                texts = part.column(1)
-                c.learn([t.as_py() for t in texts])
+                found = c.learn((t.as_py() for t in part.column(1)), wanted)
                 for at in range(0, part.num_rows, rows):
-                    yield part.column(0).slice(at, rows), texts.slice(at, rows).to_pylist()
+                    yield part.column(0).slice(at, rows), found[at : at + rows]
     finally:
+        c.drop_long()
         give_back()
 
 
@@ -343,8 +406,8 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
 
     def run(batches):
         c = codec(path, pattern)
-        for k, texts in _learned(c, batches):
-            yield pa.RecordBatch.from_arrays([k, pa.array([c.encode(t) for t in texts], pa.list_(pa.int32()))], [key, "ids"])
+        for k, found in _learned(c, batches, ("ids",)):
+            yield pa.RecordBatch.from_arrays([k, pa.array([c.ids_of(x) for x in found], pa.list_(pa.int32()))], [key, "ids"])
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>")
@@ -369,8 +432,8 @@ def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: s
 
     def run(batches):
         c = codec(path, pattern)
-        for k, texts in _learned(c, batches):
-            n, listed, back = zip(*map(c.digest, texts))
+        for k, found in _learned(c, batches, DIGEST):
+            n, listed, back = zip(*map(c.digest_of, found))
             yield pa.RecordBatch.from_arrays([k, pa.array(n, pa.int64()), pa.array(listed, pa.string()), pa.array(back, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[key].dataType.simpleString()

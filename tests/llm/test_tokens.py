@@ -51,6 +51,34 @@ def test_learning_changes_nothing(library):
     assert [c.encode(x) for x in t] == [library.encode_ordinary(x) for x in t]
 
 
+def test_digests_split_a_text_once_and_equal_library(library, monkeypatch):
+    seen = []
+
+    class Split:
+        def findall(self, text, inner=bpe.COARSE):
+            seen.append(text)
+            return inner.findall(text)
+
+    monkeypatch.setattr(bpe, "COARSE", Split())
+    monkeypatch.setattr(bpe, "REMEMBERED", 500)
+    c = bpe.Codec(RANKS, P.PATTERN)
+    words = ["".join(random.Random(k % 700).choices("abthernéß漢字слово,", k=9)) for k in range(1500)]
+    t = [*texts(500, 6), *LONG, "", None, *[" ".join(words[k : k + 9]) for k in range(1000)], "漢字" * 40 + " the " + "ñandú" * 30 + "!"]
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(len(x))), pa.array(x, pa.string())], ["doc_id", "text"]) for x in (t[:300], t[300:700], t[700:], t[:300])]
+    order = [x for b in batches for x in b.column(1).to_pylist()]
+    got = [c.digest_of(n) for _, found in bpe._learned(c, iter(batches), bpe.DIGEST) for n in found]
+    assert seen == [x for x in order if x]
+    assert {len(v) for v in c.made.values()} == {len(c.numbers)}  # none of the long ones is left
+    want = []
+    for x in order:
+        ids = library.encode_ordinary(x or "")
+        want.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((x or "").encode()).hexdigest()))
+    assert got == want
+    assert c.encode(t[0]) == library.encode_ordinary(t[0]) and c.digest(t[0]) == want[0] and c.encode(LONG[1]) == library.encode_ordinary(LONG[1])
+
+
 def test_rank_queue_gives_ranks_then_places():
     q, r = bpe.RankQueue(50_000), random.Random(4)
     pushed = [(r.randrange(50_000), i) for i in range(500)] + [(7, 3), (7, 1)]
