@@ -42,7 +42,7 @@ REMEMBERED, REMEMBERED_LENGTH = 400_000, 48
 ALONE = 200
 
 #: Bytes of text whose new pre-tokens go through the queue together.
-TOGETHER = 8_000_000
+TOGETHER = 4_000_000
 
 #: The white space of Unicode, as the rank files' pattern means by \s.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
