@@ -2,6 +2,7 @@
 
 import random
 import re
+from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
@@ -104,3 +105,24 @@ def test_components(spark):
     got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == least([e for e in edges if e[0] != e[1]], nodes)
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).collect() == []
+
+
+def test_workers_give_memory_back(monkeypatch):
+    from terrella.llm import workers
+
+    class Runs(list):
+        """Takes the place of a table; keeps what workers would run on it."""
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            self.append(run)
+
+    times = []
+    monkeypatch.setattr(workers, "give_back", lambda: times.append(1))
+    monkeypatch.setattr(N, "F", MagicMock())
+    tables = Runs()
+    N.signatures(tables, "doc_id", "text")
+    for k, run in enumerate([*tables, N._sketch_links(1), N._set_links(80, 1), N._partnered(80, 1)]):
+        assert list(run(iter([]))) == [] and len(times) == k + 1
