@@ -94,7 +94,8 @@ def join_containing(polygons: DataFrame, points: DataFrame, geometry: str = "geo
 
 
 def _join_cells(cells: DataFrame, points: DataFrame, polygons: DataFrame, x: str, y: str) -> DataFrame:
-    """Pairs of a polygon and the points in its cells. polygons: tell which grids are in use."""
+    """Pairs of a polygon and the points in its cells. polygons: tell which grids are in use. A size estimate doesn't
+    know how many cells a polygon has, so neither side is ever broadcast."""
     salts = F.when(F.col("__wide"), SALTS).otherwise(1)
     p = cells.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     grids = polygons.select("__wide", "__level").distinct()  # twice _MOST - _LEAST + 1 rows at most
@@ -102,7 +103,7 @@ def _join_cells(cells: DataFrame, points: DataFrame, polygons: DataFrame, x: str
     plain = [f.name for f in points.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     q = q.withColumn("__salt", F.pmod(F.xxhash64(*plain), salts).cast("int"))
     by = ["__wide", "__level", "__cx", "__cy", "__salt"]
-    return p.join(q, by).drop(*by)
+    return p.hint("merge").join(q, by).drop(*by)
 
 
 def clip_to_regions(points: DataFrame, regions: DataFrame, geometry: str = "region_geometry", box: str = "region_extent", x: str = "x", y: str = "y") -> DataFrame:

@@ -257,6 +257,23 @@ def test_boxes_join_without_edges_or_python_cells(spark):
     assert got == sorted((k, i) for k, g in finite for i in np.flatnonzero(G.contains_points(g, x, y)))
 
 
+def test_cells_of_polygons_are_never_broadcast(spark, tmp_path):
+    """A few bytes of polygons may have any number of cells, salted at that: 500 boxes have over 20,000 here."""
+    x, y = (F.randn(k) * w for k, w in ((1, 20), (2, 10)))
+    spark.range(500).select("id", x.alias("x"), y.alias("y")).write.parquet(f"{tmp_path}/points")
+    q = spark.read.parquet(f"{tmp_path}/points")
+    corners = ("xmin", "ymin", "xmax", "ymax")
+    p = q.select(F.col("id").alias("box_id"), F.struct(*[(F.col(c[0]) + (3 if "max" in c else -3)).alias(c) for c in corners]).alias("extent"))
+    p = p.withColumn("geometry", G.wkb_box(*[f"extent.{c}" for c in corners]))
+    pairs = spatial.join_containing(p, q).select("box_id", "id")
+    plan = pairs._jdf.queryExecution()
+    assert "BroadcastHashJoin" not in plan.executedPlan().toString()
+    got = sorted(map(tuple, pairs.collect()))
+    assert "BroadcastHashJoin" not in plan.executedPlan().toString()  # nor by the sizes found on the way
+    at = [tuple(r) for r in q.collect()]
+    assert got == sorted((b, i) for b, u, v in at for i, x, y in at if u - 3 < x < u + 3 and v - 3 < y < v + 3) and len(got) > 1000
+
+
 def test_cells_leave_the_worker_in_bounded_batches(spark):
     ring = [(8 * np.cos(a), 8 * np.sin(a)) for a in np.linspace(0, 2 * np.pi, 200)]
     g = G.to_wkb("Polygon", [[*ring[:-1], ring[0]]])
